@@ -18,8 +18,8 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: int | str = 8, partitions: int = 8, memory: str = "8g") -> SparkSession:
-    """A session for tests and benchmarks on one machine."""
+def local_session(cores: int | str = 8, partitions: int = 8, memory: str = "8g", **more: str) -> SparkSession:
+    """A session for tests and benchmarks on one machine; further settings as keywords, with __ for dots."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName("bandsieve")
     conf = {
         "spark.sql.shuffle.partitions": partitions,
@@ -28,7 +28,7 @@ def local_session(cores: int | str = 8, partitions: int = 8, memory: str = "8g")
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": memory,
         "spark.driver.host": "127.0.0.1",
-    }
+    } | {k.replace("__", "."): v for k, v in more.items()}
     for key, value in conf.items():
         builder = builder.config(key, str(value))
     return ship(builder.getOrCreate())
