@@ -14,7 +14,7 @@ HARD = ("black", "empty", "corrupt", "probe_fail", "decode_fail", "error")
 
 
 def rung(stage: Column | None = None) -> Column:
-    """A stage's place in the ladder."""
+    """A stage's place among the rungs."""
     s = F.col("stage") if stage is None else stage
     out = F.when(s == STAGES[0], 0)
     for i, name in enumerate(STAGES[1:], 1):

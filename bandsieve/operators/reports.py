@@ -74,12 +74,12 @@ def hits(results: DataFrame) -> DataFrame:
 
 
 def episode(results: DataFrame, path: str, snapshot: bool = False) -> dict[str, Any]:
-    """One clip's tiers with decisions, in ladder order, and its hits by time."""
+    """One clip's tiers with decisions, in order of rungs, and its hits by time."""
     own = results.filter(F.col("path") == path)
     rows = versions.latest_per_clip(own) if snapshot else versions.active(own)
     tiers = rows.filter(F.col("stage").isin(*STAGES)).withColumn("ord", cascade.rung()).withColumn("decided", F.when(F.col("stage") != "vlm", F.coalesce("verdict.decision", B.decide()))).orderBy("ord").collect()
     found = sorted((dict(tier=r["stage"], reason=h["reason"], t=h["t"]) for r in tiers for h in (r["verdict"]["hits"] or [])), key=lambda h: h["t"])
-    return {"path": path, "ladder": [{"level": LEVELS[r["stage"]], "stage": r["stage"], "decision": r["decided"], "verdict": r["verdict"].asDict(True)} for r in tiers], "hits": found}
+    return {"path": path, "rungs": [{"level": LEVELS[r["stage"]], "stage": r["stage"], "decision": r["decided"], "verdict": r["verdict"].asDict(True)} for r in tiers], "hits": found}
 
 
 def top_reasons(results: DataFrame, n: int = 8) -> DataFrame:

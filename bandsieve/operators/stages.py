@@ -1,4 +1,4 @@
-"""The ladder's stages and the executor that runs them over what is still to do."""
+"""The stages and the executor that runs them over what is still to do."""
 
 from __future__ import annotations
 
@@ -75,7 +75,7 @@ def run_stage(todo: DataFrame, stage: Stage, now: float) -> DataFrame:
     return raw.select("path", F.lit(stage.name).alias("stage"), F.lit(stage.version).alias("version"), F.from_json("verdict_json", VERDICT).alias("verdict"), F.lit(0.0).alias("score"), F.lit(now).alias("ran_at"))
 
 
-def run_ladder(store: Store, stages: list[Stage], limit: int | None = None, retry_errors: bool = False, clock: Callable[[], float] = time.time) -> dict[str, int]:
+def run_stages(store: Store, stages: list[Stage], limit: int | None = None, retry_errors: bool = False, clock: Callable[[], float] = time.time) -> dict[str, int]:
     """Runs stages in order over clips that the gates allow and that have no row yet. Each stage's rows are written before the next
     stage's gate reads them, so that dear detectors only see what the cheap ones passed on."""
     done: dict[str, int] = {}

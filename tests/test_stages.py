@@ -1,11 +1,11 @@
-"""Fifty clips through the whole ladder with mock detectors: counts worked out by hand."""
+"""Fifty clips through the whole cascade with mock detectors: counts worked out by hand."""
 
 import pytest
 from pyspark.sql import functions as F
 
 from bandsieve.functions.bands import DEFAULT_BANDS
 from bandsieve.operators import cascade
-from bandsieve.operators.stages import Stage, judge_stage, judged, run_ladder, score_batch, write_verdicts
+from bandsieve.operators.stages import Stage, judge_stage, judged, run_stages, score_batch, write_verdicts
 from bandsieve.schema import VIDEOS
 from bandsieve.sources.store import Store
 
@@ -50,8 +50,8 @@ def store(spark, tmp_path_factory):
     s.add_videos(spark.createDataFrame(clips, VIDEOS))
     s.add_videos(spark.createDataFrame(clips[:5], VIDEOS))
     stages = [Stage("meta", "c1", meta), Stage("cheap_cv", "c1", cheap), Stage("geometry", "c1", geometry), Stage("objects", "c1", objects), Stage("semantic", "c1", batch_fn=semantic, batch_size=16, workers=2)]
-    assert run_ladder(s, stages) == {"meta": 50, "cheap_cv": 49, "geometry": 47, "objects": 32, "semantic": 32}
-    assert sum(run_ladder(s, stages).values()) == 0
+    assert run_stages(s, stages) == {"meta": 50, "cheap_cv": 49, "geometry": 47, "objects": 32, "semantic": 32}
+    assert sum(run_stages(s, stages).values()) == 0
     return s
 
 
@@ -78,7 +78,7 @@ def test_verdicts(store):
 def test_judge(store):
     todo = cascade.undone(store.videos(), store.results(), "vlm", "cap", cascade.gate(store.results(), "vlm"))
     assert todo.count() == 5
-    run_ladder(store, [judge_stage(lambda p, t: '{"verdict": "borderline", "rubric": [{"id": "no_hands", "pass": false}]}', lambda p: [0.0, 1.0])])
+    run_stages(store, [judge_stage(lambda p, t: '{"verdict": "borderline", "rubric": [{"id": "no_hands", "pass": false}]}', lambda p: [0.0, 1.0])])
     rows = store.results().filter("stage = 'vlm'").collect()
     assert len(rows) == 5 and all(r["verdict"]["verdict"] == "BDLN" and r["verdict"]["reasons"] == ["no_hands"] for r in rows)
     assert store.runs().agg(F.max("run_id")).first()[0] == 11
