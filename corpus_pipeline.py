@@ -17,9 +17,11 @@ ORACLE_SQL = None
 
 
 def _keep(docs: DataFrame, decisions: DataFrame, repeats: str | None = None) -> DataFrame:
-    """The documents of the decided ids (doc_id unique or with equal decisions), each as many times as `repeats` says."""
-    picked = decisions.select("doc_id", *([F.col(repeats).alias("_times")] if repeats else [])).dropDuplicates(["doc_id"])
-    out = docs.join(broadcast_if_small(materialize(picked)), "doc_id")
+    """The documents of the decided ids, each as many times as `repeats` says. Rows that share an id, or have none, share the
+    most favourable decision."""
+    times = F.max(repeats) if repeats else F.lit(1).cast("long")
+    picked = broadcast_if_small(materialize(decisions.groupBy(F.col("doc_id").alias("_kept_id")).agg(times.alias("_times"))))
+    out = docs.join(picked, docs["doc_id"].eqNullSafe(picked["_kept_id"]))
     if repeats:
         out = out.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_times")))
     return out.select(docs.columns)
