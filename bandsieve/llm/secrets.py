@@ -129,8 +129,8 @@ def find_secrets(text: str, pair: MarkovPair) -> list[tuple[int, int, int]]:
     base = list(spans)
     for m in _CANDIDATE.finditer(text):
         x = m[0]
-        # Two kinds of characters at least: plain words of one case are never candidates.
-        if (any(map(str.isdigit, x)) or not (x.islower() or x.isupper() or x.istitle())) and not any(s < m.end() and m.start() < e for s, _, e in base) and pair.score(x) > pair.threshold:
+        # Letters with digits or of mixed case: plain words and plain numbers are never candidates.
+        if any(map(str.isalpha, x)) and (any(map(str.isdigit, x)) or not (x.islower() or x.isupper() or x.istitle())) and not any(s < m.end() and m.start() < e for s, _, e in base) and pair.score(x) > pair.threshold:
             spans.append((m.start(), 3, m.end()))
     return sorted(spans)
 
