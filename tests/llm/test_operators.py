@@ -325,7 +325,12 @@ def test_units_equal_the_library():
     e = records.UnitEncoder(BPE)
     odd = ["a  b", " a", "a ", "a \n b\t\tc", "don't, won't. I'll!! x's", "\n\n", " ", "a\xa0b \xa0c", "x\u3000y z", "1 22 333.5,", "...a ,b", "\x1c \x85 q", "été à 北京 \U0001f600 z'ré", "Ⅷ ½ ²x"]
     texts = [t or "" for _, t in TEXTS] + odd + ["".join(random.Random(s).choices("ab'.,!? \n\t\xa0é1", k=60)) for s in range(300)]
-    assert e.encode(texts) == e.whole(texts)
+    prose = []
+    for s in range(400):
+        r = random.Random(1000 + s)
+        prose.append("".join(r.choice(["ab", "Éa", "x1", "99", "a-b", "(c)", "q!?", "…z", "°5", "e\u0301"][: 4 + s % 7]) + r.choice([" ", " ", ", ", ". ", ".\n", "\n", ".", ","]) for _ in range(30)).strip(" \n"))
+    assert sum(map(e.is_plain, prose)) > 100
+    assert e.encode(texts + prose) == e.whole(texts + prose)
 
 
 # 8. Licences
