@@ -6,7 +6,8 @@ of the lattice (a path's prefix, with some edges forbidden at its end) has the l
 is a Gumbel variable truncated at the parent's, and the best region is opened first: its best path is drawn, and the rest of it is split at
 every edge of that path. The next best region's value, kappa, gives inclusion scores 1 - exp(-exp(log_prob - kappa)).
 
-Pieces never join a character with a space after it, nor hold a line feed, so a text is cut there into units; each unit's lattice is
+Pieces never join a character with a space after it, nor hold a line feed, nor (in files where that is so) join Latin letters with other
+characters, so a text is cut there into units; each unit's lattice is
 built once a worker and all units of a batch of texts are walked together. Model files of BPE kind have merge ranks but no
 probabilities; Zipf's law turns ranks into them. Characters without a piece are spelled in the model's byte pieces.
 All randomness is a hash of the row's key, so reruns agree.
@@ -20,6 +21,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,17 +31,18 @@ from pyspark.sql import functions as F
 from bandsieve.llm._shared import hash64, mix64, small_batches
 
 #: Units whose lattices a worker keeps; then it starts anew.
-REMEMBERED = 250_000
+REMEMBERED = 300_000
 #: Units that are walked at once.
 AT_ONCE = 150_000
+_LATIN = re.compile(r"[A-Za-z\u00C0-\u024F]")
 _MODELS: dict[str, PieceModel] = {}
 
 
 class PieceModel:
     """Pieces of a model file with log-probabilities, and lattices of units as flat tables of edges.
 
-    Node tables: first edge and number of edges (none at a unit's start). Edge tables, best first within a node: the
-    cumulative probability, the node the edge comes from, the piece, its log-probability given the node, and the log of the others'."""
+    Node tables: first edge and number of edges (none at a unit's end). Edge tables, best first within a node: the
+    cumulative probability, the node the edge leads to, the piece, its log-probability given the node, and the log of the others'."""
 
     def __init__(self, path: str):
         import sentencepiece
@@ -61,16 +64,18 @@ class PieceModel:
             self.bytes_of[i] = piece.encode()
             self.lp[piece] = (i, float(-np.log(rank + 2.0) - total))
         self.byte_lp = float(-np.log(len(normal) + 2.0) - total)
-        self.lp_of = np.zeros(n)
+        self.lp_of = np.full(n, self.byte_lp)
         for i, value in self.lp.values():
             self.lp_of[i] = value
         self.byte_lp = float(-np.log(len(normal) + 2.0) - total)
-        self.lp_of = np.zeros(n)
+        self.lp_of = np.full(n, self.byte_lp)
         for i, value in self.lp.values():
             self.lp_of[i] = value
         self.prefixes = {p[:k] for p in self.lp for k in range(1, len(p) + 1)}
         self._trie()
-        self.cut = re.compile(r" *[^ \n]+|\n| +").findall
+        # Where no piece joins a Latin letter with anything but another one, units are cut there too.
+        mixed = any(b != " " and bool(_LATIN.match(a)) != bool(_LATIN.match(b)) for p in self.lp for a, b in zip(p, p[1:]) if a != " ")
+        self.cut = re.compile(r" *[^ \n]+|\n| +" if mixed else rf" *{_LATIN.pattern}+| *[^A-Za-z\u00C0-\u024F \n]+|\n| +").findall
         self.clear()
 
     def _trie(self) -> None:
@@ -88,12 +93,12 @@ class PieceModel:
             self.trie_piece[states[piece]] = i
 
     def clear(self) -> None:
-        self.ends: dict[str, int] = {}
-        self.spelled: list[list[int]] = []  # pieces below 0 are ~place here: characters spelled in bytes
+        self.starts: dict[str, int] = {}
+        self.spelled: list[list[int]] = []  # pieces below 0 are ~place here: characters spelled in several bytes
         self.spelled_at: dict[int, int] = {}
         self.n_nodes = self.n_edges = 0
         self.first, self.count = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int32)
-        self.cum, self.src, self.piece = np.zeros(1 << 17, np.float32), np.zeros(1 << 17, np.int32), np.zeros(1 << 17, np.int32)
+        self.cum, self.to, self.piece = np.zeros(1 << 17, np.float32), np.zeros(1 << 17, np.int32), np.zeros(1 << 17, np.int32)
         self.log_p, self.log_q = np.zeros(1 << 17, np.float32), np.zeros(1 << 17, np.float32)
 
     def units(self, text: str) -> list[str]:
@@ -104,48 +109,49 @@ class PieceModel:
         n_chars = np.fromiter(map(len, units), np.int64, len(units))
         base, node = self.n_nodes, int(n_chars.sum()) + len(units)
         ends = np.cumsum(n_chars + 1) - 1
-        self.ends.update(zip(units, (base + ends).tolist()))
+        self.starts.update(zip(units, (base + ends - n_chars).tolist()))
         # A unit has a node before each character and one at its end; there the text holds a value that is no character.
         place = np.arange(node - len(units)) + np.repeat(np.arange(len(units)), n_chars)
         text = np.full(node, 0x110000, np.int64)
         text[place] = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32)
-        src, dst, piece, level = self._match(text, place, np.repeat(ends - n_chars, n_chars))
+        src, dst, piece, level = self._match(text, place, np.repeat(ends, n_chars))
         lps = self.lp_of[np.maximum(piece, 0)]
         if len(piece) and piece.min() < 0:
             odd = piece < 0
             lps[odd] = self.byte_lp * np.array([len(self.spelled[~x]) for x in piece[odd].tolist()])
-        alpha = np.zeros(node)
-        order = np.argsort(level * np.int64(node + 1) + dst, kind="stable")
+        # beta of a node: log of the mass of all ways from there to the unit's end; level: characters to the end.
+        beta = np.zeros(node)
+        order = np.argsort(level * np.int64(node + 1) + src, kind="stable")
         src, dst, piece, lps, level = src[order], dst[order], piece[order], lps[order], level[order]
         bounds = np.flatnonzero(np.diff(level, prepend=0, append=level[-1:] + 1)) if len(level) else np.zeros(1, int)
         for lo, hi in zip(bounds[:-1], bounds[1:]):
-            d = dst[lo:hi]
-            heads = np.flatnonzero(np.diff(d, prepend=-1))
-            alpha[d[heads]] = np.logaddexp.reduceat(alpha[src[lo:hi]] + lps[lo:hi], heads)
-        log_p = np.minimum(alpha[src] + lps - alpha[dst], 0.0)
-        order = np.lexsort((-log_p, dst))
+            x = src[lo:hi]
+            heads = np.flatnonzero(np.diff(x, prepend=-1))
+            beta[x[heads]] = np.logaddexp.reduceat(beta[dst[lo:hi]] + lps[lo:hi], heads)
+        log_p = np.minimum(beta[dst] + lps - beta[src], 0.0)
+        order = np.lexsort((-log_p, src))
         src, dst, piece, log_p = src[order], dst[order], piece[order], log_p[order]
         p = np.exp(log_p)
-        heads = np.flatnonzero(np.diff(dst, prepend=-1))
-        sizes = np.diff(heads, append=len(dst))
+        heads = np.flatnonzero(np.diff(src, prepend=-1))
+        sizes = np.diff(heads, append=len(src))
         total = np.cumsum(p)
         cum = total - np.repeat(total[heads] - p[heads], sizes)
         cum[heads + sizes - 1] = 2.0  # the last edge takes what rounding leaves
         with np.errstate(divide="ignore"):
             log_q = np.where(np.repeat(sizes, sizes) == 1, -np.inf, np.log(-np.expm1(np.minimum(log_p, -1e-300))))
-        self._grow(node, len(dst))
+        self._grow(node, len(src))
         a, b = self.n_nodes, self.n_edges
         self.first[a : a + node] = 0
         self.count[a : a + node] = 0
-        self.first[a + dst[heads]] = b + heads
-        self.count[a + dst[heads]] = sizes
-        for table, values in ((self.cum, cum), (self.src, a + src), (self.piece, piece), (self.log_p, log_p), (self.log_q, log_q)):
-            table[b : b + len(dst)] = values
-        self.n_nodes, self.n_edges = a + node, b + len(dst)
+        self.first[a + src[heads]] = b + heads
+        self.count[a + src[heads]] = sizes
+        for table, values in ((self.cum, cum), (self.to, a + dst), (self.piece, piece), (self.log_p, log_p), (self.log_q, log_q)):
+            table[b : b + len(src)] = values
+        self.n_nodes, self.n_edges = a + node, b + len(src)
 
-    def _match(self, text: np.ndarray, place: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
+    def _match(self, text: np.ndarray, place: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, ...]:
         """All edges: the pieces that start at each place, found for all places together, one character further at a time."""
-        found, at, state, unit = [], place, np.zeros(len(place), np.int64), first
+        found, at, state, unit = [], place, np.zeros(len(place), np.int64), last
         length = 0
         while len(at):
             key = (state << 21) | text[at + length]
@@ -161,33 +167,34 @@ class PieceModel:
                 odd = np.flatnonzero(alone[place])
                 for c in np.unique(text[place[odd]]).tolist():
                     if c not in self.spelled_at:
-                        self.spelled_at[c] = len(self.spelled)
-                        self.spelled.append([self.byte_id[x] for x in chr(c).encode("utf-8", "surrogatepass")])
-                spelled = np.array([~self.spelled_at[c] for c in text[place[odd]].tolist()], np.int64)
-                found.append((place[odd], place[odd] + 1, spelled, place[odd] + 1 - first[odd]))
+                        raw = [self.byte_id[x] for x in chr(c).encode("utf-8", "surrogatepass")]
+                        self.spelled_at[c] = raw[0] if len(raw) == 1 else ~len(self.spelled)
+                        self.spelled += [raw] * (len(raw) > 1)
+                spelled = np.array([self.spelled_at[c] for c in text[place[odd]].tolist()], np.int64)
+                found.append((place[odd], place[odd] + 1, spelled, last[odd] - place[odd]))
             src = at[whole]
-            found.append((src, src + length, end[whole], src + length - unit[whole]))
+            found.append((src, src + length, end[whole], unit[whole] - src))
         return tuple(map(np.concatenate, zip(*found))) if found else (np.empty(0, np.int64),) * 4
 
     def _grow(self, nodes: int, edges: int) -> None:
         while len(self.first) < self.n_nodes + nodes:
             self.first, self.count = np.concatenate((self.first, np.zeros_like(self.first))), np.concatenate((self.count, np.zeros_like(self.count)))
         while len(self.cum) < self.n_edges + edges:
-            for name in ("cum", "src", "piece", "log_p", "log_q"):
+            for name in ("cum", "to", "piece", "log_p", "log_q"):
                 table = getattr(self, name)
                 setattr(self, name, np.concatenate((table, np.zeros_like(table))))
 
-    def end_nodes(self, units: list[list[str]]) -> list[np.ndarray]:
-        """The end node of each unit of each text; lattices that are missing are built. Node numbers hold until the next call."""
-        if len(self.ends) > REMEMBERED:
+    def start_nodes(self, units: list[list[str]]) -> list[np.ndarray]:
+        """The first node of each unit of each text; lattices that are missing are built. Node numbers hold until the next call."""
+        if len(self.starts) > REMEMBERED:
             self.clear()
-        missing = list({u for x in units for u in x if u not in self.ends})
+        missing = list(set(chain.from_iterable(units)).difference(self.starts))
         if missing:
             self.add(missing)
-        return [np.fromiter(map(self.ends.__getitem__, x), np.int64, len(x)) for x in units]
+        return [np.fromiter(map(self.starts.__getitem__, x), np.int64, len(x)) for x in units]
 
     def walk(self, nodes: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Draws a path from each node back to its unit's start: edges (all paths one after another, end first) and their numbers.
+        """Draws a path from each node to its unit's end: edges (all paths one after another) and their numbers.
 
         keys: a 64-bit hash for each node, from which its draws come."""
         steps, at, node, who = [], np.zeros(len(nodes), np.int64), nodes.copy(), np.arange(len(nodes))
@@ -203,7 +210,7 @@ class PieceModel:
                 more = more[u[more] >= self.cum[edge[more]]]
             steps.append((who, edge))
             at[who] += 1
-            node = self.src[edge].astype(np.int64)
+            node = self.to[edge].astype(np.int64)
             on = self.count[node] > 0
             node, who = node[on], who[on]
             k += 1
@@ -213,18 +220,19 @@ class PieceModel:
             out[starts[w] + i] = e
         return out, at
 
-    def ids(self, edges: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """Piece ids in text order of a path given as walk() gives it."""
-        starts = np.repeat(np.cumsum(sizes) - sizes, sizes)
-        back = np.repeat(sizes, sizes) - 1 - (np.arange(len(edges)) - starts)
-        piece = self.piece[edges[starts + back]]
+    def ids(self, edges: np.ndarray) -> np.ndarray:
+        """Piece ids of a path."""
+        piece = self.piece[edges]
         if len(piece) and piece.min() < 0:
             return np.array([y for x in piece.tolist() for y in ((x,) if x >= 0 else self.spelled[~x])], np.int32)
         return piece
 
+    def decode_bytes(self, ids: list[int]) -> bytes:
+        """The UTF-8 text of piece ids: their bytes joined, without the space that encoding puts in front."""
+        return b"".join(map(self.bytes_of.__getitem__, ids))[1:]
+
     def decode(self, ids: list[int]) -> str:
-        """The text of piece ids: their bytes joined, without the space that encoding puts in front."""
-        return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")[1:]
+        return self.decode_bytes(ids).decode("utf-8", "replace")
 
 
 def model_of(path: str) -> PieceModel:
@@ -247,8 +255,8 @@ def _truncated(log_mass: np.ndarray, u: np.ndarray, bound: float) -> np.ndarray:
 class _Search:
     """The perturbed A-star search over one text's lattice. Its draws of paths are made by the caller, for many texts at once."""
 
-    def __init__(self, model: PieceModel, ends: np.ndarray, key: int, samples: int):
-        self.model, self.ends, self.key, self.left = model, ends, key, samples
+    def __init__(self, model: PieceModel, starts: np.ndarray, key: int, samples: int):
+        self.model, self.starts, self.key, self.left = model, starts, key, samples
         self.out: list[tuple[np.ndarray, np.ndarray, float, float]] = []  # edges, sizes, log_prob, perturbed
         # A region: perturbed maximum, path it leaves, where, edges forbidden there, log-mass of the prefix.
         self.agenda: list[tuple[float, int, int, tuple[int, ...], float]] = []
@@ -257,35 +265,45 @@ class _Search:
         self.head: np.ndarray = np.empty(0, np.int64)  # edges before the draw
         self.head_sizes: np.ndarray = np.empty(0, np.int64)
         self.forbidden: tuple[int, ...] = ()
-        self.floor, self.todo = 0, ends
+        self.floor, self.todo = 0, starts
 
     def took(self, edges: np.ndarray, sizes: np.ndarray) -> None:
         """A region's best path is drawn: emit it, split the region, choose the next."""
-        m = self.model
-        open_unit = len(self.head_sizes) and len(self.todo) == len(self.ends) - len(self.head_sizes) + 1
-        all_edges = np.concatenate((self.head, edges))
-        if open_unit:  # the first draw ends the unit that the head has begun
-            all_sizes = np.concatenate((self.head_sizes[:-1], [self.head_sizes[-1] + sizes[0]], sizes[1:]))
-        else:
-            all_sizes = np.concatenate((self.head_sizes, sizes))
-        log_p = m.log_p[all_edges].astype(np.float64)
-        before = np.cumsum(log_p) - log_p
+        m, floor = self.model, self.floor
+        if len(self.head):
+            if len(self.todo) == len(self.starts) - len(self.head_sizes) + 1:  # the first draw ends the unit that the head has begun
+                sizes = np.concatenate((self.head_sizes[:-1], [self.head_sizes[-1] + sizes[0]], sizes[1:]))
+            else:
+                sizes = np.concatenate((self.head_sizes, sizes))
+            edges = np.concatenate((self.head, edges))
         place = len(self.out)
-        self.out.append((all_edges, all_sizes.astype(np.int64), float(log_p.sum()), self.value))
+        self.out.append((edges, sizes, float(m.log_p[edges].sum(dtype=np.float64)), self.value))
         self.left -= 1
-        d = np.arange(self.floor, len(all_edges))
-        mass = before[d] + m.log_q[all_edges[d]]
-        forbidden = (*self.forbidden, int(all_edges[self.floor])) if self.forbidden else ()
-        if forbidden:
-            rest = self._others(forbidden)
-            mass[0] = before[self.floor] + (np.log(rest) if rest > 0 else -np.inf)
-        ok = np.flatnonzero(np.isfinite(mass))
-        if len(ok):
-            values = _truncated(mass[ok], _uniform(self.key + 1 + place, d[ok]), self.value)
-            for i in np.argsort(-values, kind="stable")[: self.left + 1]:
-                at = int(d[ok[i]])
-                own = forbidden if forbidden and at == self.floor else (int(all_edges[at]),)
-                self.agenda.append((float(values[i]), place, at, own, float(before[at])))
+        # Regions far along a path weigh next to nothing. With 53 random bits a Gumbel variable lies in [-3.7, 36.8], so regions whose
+        # log-mass is 41 below that of the best ones can't be among the best: the path is looked at until then.
+        size = 256
+        while len(edges) > floor:
+            part = edges[: floor + size]
+            log_p = m.log_p[part]
+            reached = np.cumsum(log_p, dtype=np.float64)
+            before = reached - log_p
+            mass = before[floor:] + m.log_q[part[floor:]]
+            forbidden = (*self.forbidden, int(part[floor])) if self.forbidden else ()
+            if forbidden:
+                rest = self._others(forbidden)
+                mass[0] = before[floor] + (np.log(rest) if rest > 0 else -np.inf)
+            if len(part) < len(edges) and np.count_nonzero(mass > reached[-1] + 41) <= self.left:
+                size *= 4
+                continue
+            values = _truncated(mass, _uniform(self.key + 1 + place, np.arange(floor, len(part))), self.value)
+            for _ in range(self.left + 1):
+                i = int(values.argmax())
+                if values[i] == -np.inf:
+                    break
+                own = forbidden if forbidden and not i else (int(part[floor + i]),)
+                self.agenda.append((float(values[i]), place, floor + i, own, float(before[floor + i])))
+                values[i] = -np.inf
+            break
         self.agenda.sort(key=lambda x: -x[0])
         self.kappa = self.agenda[0][0] if self.agenda else -np.inf
         if self.left and self.agenda:
@@ -294,7 +312,7 @@ class _Search:
             self.left = 0
 
     def _node(self, edge: int) -> range:
-        """The edges of the node that an edge ends at."""
+        """The edges of the node that an edge starts from."""
         lo = edge
         m = self.model
         while lo and m.cum[lo - 1] < m.cum[lo] and m.cum[lo - 1] < 2.0:
@@ -319,17 +337,17 @@ class _Search:
         unit = int(np.searchsorted(ends, at, "right"))
         self.head = np.concatenate((edges[:at], [edge]))
         self.head_sizes = np.concatenate((sizes[:unit], [at + 1 - (ends[unit] - sizes[unit])]))
-        self.todo = np.concatenate(([int(m.src[edge])], self.ends[unit + 1 :]))
+        self.todo = np.concatenate(([int(m.to[edge])], self.starts[unit + 1 :]))
         self.value, self.floor, self.forbidden = value, at, forbidden
 
     def keys(self) -> np.ndarray:
-        return mix64(np.uint64(self.key) + (np.arange(len(self.todo), dtype=np.uint64) + np.uint64(1 + len(self.ends) - len(self.todo))) * np.uint64(0x8CB92BA72F3D8DD7) + np.uint64(1009 * len(self.out)))
+        return mix64(np.uint64(self.key) + (np.arange(len(self.todo), dtype=np.uint64) + np.uint64(1 + len(self.starts) - len(self.todo))) * np.uint64(0x8CB92BA72F3D8DD7) + np.uint64(1009 * len(self.out)))
 
 
 def sample_texts(model: PieceModel, texts: list[str], keys: list[int], samples: int) -> list[_Search]:
     """Searches of the texts, run to their ends; in each, out has the samples, best first."""
-    ends = model.end_nodes([model.units(x) for x in texts])
-    all_ = [_Search(model, e, k, samples) for e, k in zip(ends, keys)]
+    starts = model.start_nodes([model.units(x) for x in texts])
+    all_ = [_Search(model, x, k, samples) for x, k in zip(starts, keys)]
     live = [x for x in all_ if x.left]
     while live:
         nodes = np.concatenate([x.todo for x in live]) if live else np.empty(0, np.int64)
@@ -370,10 +388,11 @@ def sample_segmentations(docs: DataFrame, model: str, id_col: str = "doc_id", te
                     hi += 1
                 rows = []
                 for i, x in enumerate(sample_texts(own, texts[lo:hi], keys[lo:hi], samples), lo):
-                    for rank, (edges, sizes, log_prob, value) in enumerate(x.out, 1):
-                        ids = own.ids(edges, sizes)
+                    plain = texts[i].encode("utf-8", "surrogatepass")
+                    for rank, (edges, _, log_prob, value) in enumerate(x.out, 1):
+                        ids = own.ids(edges)
                         raw = ids.astype("<u4").tobytes()
-                        row = (i, rank, len(ids), log_prob, value, inclusion(log_prob, x.kappa), own.decode(ids.tolist()) == texts[i], zlib.crc32(raw))
+                        row = (i, rank, len(ids), log_prob, value, inclusion(log_prob, x.kappa), own.decode_bytes(ids.tolist()) == plain, zlib.crc32(raw))
                         rows.append((*row, raw) if with_ids else row)
                 columns = list(zip(*rows))
                 given = part.column("id").take(pa.array(columns[0], pa.int64()))
