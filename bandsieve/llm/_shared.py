@@ -62,9 +62,9 @@ def hash64(data: bytes) -> int:
 
 
 class WordHashes(dict):
-    """Word (bytes) to 64-bit hash; hashes what is missing. Emptied when it is full."""
+    """Word (bytes) to 64-bit hash; hashes what is missing. Emptied when it is full, and by tasks when they end."""
 
-    LIMIT = 1_000_000
+    LIMIT = 400_000
 
     def __missing__(self, word: bytes) -> int:
         value = self[word] = xxhash.xxh3_64_intdigest(word)
@@ -78,6 +78,12 @@ class WordHashes(dict):
 
 WORD_HASHES = WordHashes()
 
+
+def forget_words() -> None:
+    """Frees a worker's word hashes; tasks call it when they end."""
+    WORD_HASHES.clear()
+
+
 #: Odd multipliers, one for each place in a shingle: powers of the golden ratio's 64-bit multiplier.
 _PLACES = np.array([pow(0x9E3779B97F4A7C15, i + 1, 1 << 64) for i in range(64)], np.uint64)
 

@@ -11,8 +11,11 @@ with a probability that rises with their similarity.
    compared with the bucket's smallest. A candidate's similarity is first estimated jointly: the likelihood of the numbers of
    registers that are equal, larger and smaller is maximised over the Jaccard similarity. Where even a
    generous upper end of the estimate is below the threshold, the pair is dropped; the others are verified on full sets.
-3. After components are known, buckets that still hold several components have all their members outside of the bucket's
-   main component compared with the others in the bucket, so that a link between two classes that are both unlike the bucket's smallest is not lost.
+3. Buckets that still hold several components compare their members once more with the member most similar to the
+   smallest, which in a family of edited copies is the least edited one.
+4. Members that are still outside of their bucket's main component are compared with all members of the bucket, exactly: both are cut into
+   tiles of bounded size, a tile's intersections are one matrix product inside a task, and only links that join components leave it.
+   So a link between two classes that are both unlike the stars' centres is not lost, and pairs are never expanded into rows.
 
 Null, empty and blank texts have empty sets, n_shingles 0, and are linked with nothing. Repeated rows with equal ids
 fall together. A null id is left as a document of its own. Extra columns don't matter: only id and text are read.
@@ -29,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bandsieve.llm._shared import broadcast_if_small, column_bytes, materialize, mix64, shingle_hashes, small_batches
+from bandsieve.llm._shared import broadcast_if_small, column_bytes, forget_words, materialize, mix64, shingle_hashes, small_batches
 from bandsieve.llm.components import components
 
 #: Base of the registers' scale; the smaller, the finer.
@@ -39,6 +42,8 @@ LAST = 2000
 #: Added to all registers, so that no minimum, however large, is cut off at 0.
 OFFSET = 101
 _STEP = 8192
+#: Members of a bucket that meet in one task, on either side.
+TILE = 256
 
 
 def _functions(registers: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -94,6 +99,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, width: int, registers:
                 digest.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 rows.append(registers_of(s, mult, add).astype("<u2").tobytes() if len(s) else None)
             yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(rows, pa.binary())], names=["id", "n_shingles", "set_digest", "sketch"])
+        forget_words()
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(sketch, f"id {id_type}, n_shingles long, set_digest binary, sketch binary")
 
@@ -106,6 +112,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, wi
         for part in parts:
             out = [np.unique(shingle_hashes((x or b"").lower().split(), width)).tobytes() for x in column_bytes(part, "text")]
             yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(out, pa.binary())], names=["id", "shingles"])
+        forget_words()
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(broadcast_if_small(wanted), "id", "left_semi")
     return rows.mapInArrow(sets, f"id {id_type}, shingles binary").dropDuplicates(["id"])
@@ -129,7 +136,7 @@ def _likely(pairs: DataFrame, percent: int, z: float, id_type: str) -> DataFrame
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int, percent: int, id_type: str) -> DataFrame:
-    """Pairs whose full sets have 100 * intersection >= percent * union."""
+    """a, b, sim, linked: exact similarity of pairs; linked if 100 * intersection >= percent * union."""
     pairs = materialize(pairs.distinct())
     wanted = materialize(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct())
     sets = materialize(full_sets(docs, wanted, id_col, text_col, width))
@@ -138,14 +145,84 @@ def _verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, wid
 
     def check(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            ok = []
+            sim, ok = [], []
             for x, y in zip(part.column("set_a").to_pylist(), part.column("set_b").to_pylist()):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                common = len(x) + len(y) - len(np.union1d(x, y))
-                ok.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield part.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-    return materialize(both.mapInArrow(check, f"a {id_type}, b {id_type}"))
+                union = len(np.union1d(x, y))
+                common = len(x) + len(y) - union
+                sim.append(common / union)
+                ok.append(100 * common >= percent * union)
+            yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(sim, pa.float64()), pa.array(ok, pa.bool_())], names=["a", "b", "sim", "linked"])
+
+    return materialize(both.mapInArrow(check, f"a {id_type}, b {id_type}, sim double, linked boolean"))
+
+
+def intersections(left: list[np.ndarray], right: list[np.ndarray], columns: int = 8192) -> np.ndarray:
+    """Sizes of the intersections of all left with all right sets, by products of membership matrices."""
+    values, where, counts = np.unique(np.concatenate(left + right), return_inverse=True, return_counts=True)
+    rows = np.repeat(np.arange(len(left) + len(right)), [len(x) for x in left + right])
+    number = np.cumsum(counts > 1) - 1  # values of one set only are left out
+    on = counts[where] > 1
+    rows, cols = rows[on], number[where[on]]
+    out = np.zeros((len(left), len(right)), np.float32)
+    for lo in range(0, int((counts > 1).sum()), columns):
+        inside = (cols >= lo) & (cols < lo + columns)
+        m = np.zeros((len(left) + len(right), columns), np.float32)
+        m[rows[inside], cols[inside] - lo] = 1
+        out += m[: len(left)] @ m[len(left) :].T
+    return np.rint(out).astype(np.int64)
+
+
+def join_tile(u: list[tuple], m: list[tuple], percent: int) -> list[tuple]:
+    """Links between (id, component, set) of u and of m that join different components: a spanning forest of the tile's links."""
+    common = intersections([x[2] for x in u], [x[2] for x in m])
+    n_u, n_m = np.array([len(x[2]) for x in u])[:, None], np.array([len(x[2]) for x in m])[None, :]
+    root: dict = {}
+
+    def find(x):  # noqa: ANN001, ANN202
+        while x in root:
+            x = root[x]
+        return x
+
+    out = []
+    for i, j in zip(*np.nonzero(100 * common >= percent * (n_u + n_m - common))):
+        a, b = find(u[i][1]), find(m[j][1])
+        if a != b:
+            root[max(a, b)] = min(a, b)
+            out.append((u[i][0], m[j][0]))
+    return out
+
+
+def _tiled(inside: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int, percent: int, id_type: str) -> DataFrame:
+    """Links (a, b) of members outside of their bucket's main component (bucket, rep, component, main) with any member."""
+    n = materialize(inside.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"), F.count_if(F.col("component") != F.col("main")).alias("u")))
+    rows = inside.join(broadcast_if_small(n), "bucket")
+    blocks = lambda c: F.ceil(F.col(c) / TILE).cast("int")
+    own = lambda c: F.pmod(F.xxhash64("rep", F.lit(c)), blocks(c)).cast("int")
+    every = lambda c: F.explode(F.sequence(F.lit(0), blocks(c) - 1))
+    left = rows.filter("component <> main").select("bucket", own("u").alias("i"), every("m").alias("j"), "rep", "component", F.lit(True).alias("is_u"))
+    right = rows.select("bucket", every("u").alias("i"), own("m").alias("j"), "rep", "component", F.lit(False).alias("is_u"))
+    wanted = materialize(inside.select(F.col("rep").alias("id")).distinct())
+    sets = materialize(full_sets(docs, wanted, id_col, text_col, width).withColumnRenamed("id", "rep"))
+    tiles = left.union(right).join(sets, "rep")
+
+    def work(pdf):  # noqa: ANN001, ANN202
+        import pandas as pd
+
+        rows = [(r, c, np.frombuffer(s, np.uint64)) for r, c, s in zip(pdf["rep"].tolist(), pdf["component"].tolist(), pdf["shingles"])]
+        is_u = pdf["is_u"].tolist()
+        u, m = [x for x, y in zip(rows, is_u) if y], [x for x, y in zip(rows, is_u) if not y]
+        return pd.DataFrame(join_tile(u, m, percent) if u and m else [], columns=["a", "b"])
+
+    return materialize(tiles.groupBy("bucket", "i", "j").applyInPandas(work, f"a {id_type}, b {id_type}").distinct())
+
+
+def _mixed(held: DataFrame, comp: DataFrame) -> DataFrame:
+    """rep, bucket, low, component, main of the members of buckets with several components; main is the largest one there."""
+    rows = materialize(held.join(comp.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep")).select("rep", "bucket", "low", "component"))
+    sizes = rows.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
+    main = sizes.groupBy("bucket").agg(F.count(F.lit(1)).alias("several"), F.max_by("component", F.struct("n", "component")).alias("main")).filter("several > 1")
+    return materialize(rows.join(broadcast_if_small(materialize(main.select("bucket", "main"))), "bucket").select("rep", "bucket", "low", "component", "main"))
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, bands: int = 16, rows: int = 4, seed: int = 9) -> DataFrame:
@@ -167,24 +244,21 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     facts = classes.select("rep", "n", "sketch")
     side = lambda s: facts.select(F.col("rep").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}"))
     full = lambda p: p.join(side("a"), "a").join(side("b"), "b")
-    stars = held.filter("rep <> low").select(F.col("rep").alias("a"), F.col("low").alias("b")).distinct()
-    links = _verified(_likely(full(stars), percent, 6.0, id_type), docs, id_col, text_col, width, percent, id_type)
+    check = lambda pairs: _verified(_likely(full(pairs), percent, 4.5, id_type), docs, id_col, text_col, width, percent, id_type)
+    first = check(held.filter("rep <> low").select(F.col("rep").alias("a"), F.col("low").alias("b")).distinct())
+    links = first.filter("linked").select("a", "b")
     comp = materialize(components(links))
-    # 3. Buckets that still hold several components: their other members against the rest.
-    labelled = held.join(comp.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    labelled = materialize(labelled)
-    mixed = materialize(labelled.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("bucket"))
-    if not mixed.isEmpty():
-        inside = labelled.join(broadcast_if_small(mixed), "bucket", "left_semi")
-        sizes = inside.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
-        main = materialize(sizes.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("main")))
-        inside = materialize(inside.join(broadcast_if_small(main), "bucket"))
-        others = inside.filter("component <> main").select("bucket", F.col("rep").alias("a"), F.col("component").alias("comp_a"), "low")
-        rest = inside.select("bucket", F.col("rep").alias("b"), F.col("component").alias("comp_b"), F.col("main").alias("main_b"))
-        # Two others meet once, the main component's members always; pairs with the bucket's smallest are done.
-        pairs = others.join(rest, "bucket").filter("comp_a <> comp_b and (comp_b = main_b or a < b) and a <> low and b <> low").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        more = _verified(_likely(full(pairs), percent, 6.0, id_type), docs, id_col, text_col, width, percent, id_type)
-        links = links.union(more)
+    # 3. In buckets that still hold several components, stars around the member that is most like the smallest.
+    inside = _mixed(held, comp)
+    if not inside.isEmpty():
+        near = inside.join(first.select(F.col("a").alias("rep"), F.col("b").alias("low"), "sim"), ["rep", "low"]).groupBy("bucket").agg(F.max_by(F.struct(F.col("rep").alias("centre"), F.col("component").alias("centre_component")), F.struct("sim", "rep")).alias("c"))
+        again = inside.join(broadcast_if_small(materialize(near.select("bucket", "c.*"))), "bucket").filter("component <> centre_component and centre <> rep")
+        links = links.union(check(again.select(F.greatest("rep", "centre").alias("a"), F.least("rep", "centre").alias("b")).distinct()).filter("linked").select("a", "b"))
+        comp = materialize(components(links))
+        inside = _mixed(inside.select("rep", "bucket", "low"), comp)
+    # 4. What is left is compared exactly, tile by tile.
+    if not inside.isEmpty():
+        links = links.union(_tiled(inside, docs, id_col, text_col, width, percent, id_type))
         comp = materialize(components(links))
     named = classes.select("set_digest", "rep").join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("set_digest", F.coalesce("component", "rep").alias("component_id"))
     out = all_rows.select("id", "n_shingles", "set_digest").join(materialize(named), "set_digest", "left")
