@@ -429,8 +429,9 @@ def test_joint_estimate_is_close():
 
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 40) if i != 20] + [(100, 7), (7, 7)]
-    got = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
-    assert got == {i: 0 if i <= 20 or i == 100 else 21 for i in [*range(41), 100]}
+    for limit in (0, 1000):
+        got = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(edges, "a long, b long"), limit).collect()}
+        assert got == {i: 0 if i <= 20 or i == 100 else 21 for i in [*range(41), 100]}
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
