@@ -1,7 +1,8 @@
 """Token ids in length-delimited binary records with masked checksums and an offset index.
 
 A record is: length of the payload (8 bytes, little-endian), masked CRC-32C of those 8 bytes (4), the payload, and its
-masked CRC-32C (4). A payload is one document: its id and sequence number (8 bytes each), then the token ids (4 bytes each).
+masked CRC-32C (4). A payload is one document: a flag for a null id (1), the document's id (8), the bytes of a token id (1: two where
+the vocabulary has at most 65,536 ids, else four), then the token ids.
 Beside each data file lies an index: the offset of each record (8 bytes each), so that records can be read in any order.
 Files hold documents in ascending (id, text) order, and file k's documents all come before file k + 1's.
 
@@ -13,13 +14,16 @@ text are read. Tasks write under a name of their own attempt; the manifest names
 from __future__ import annotations
 
 import os
+import re
 import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -152,8 +156,17 @@ def unframe(data: bytes) -> list[bytes]:
 
 # Tokenizing
 
-#: Units that a worker remembers the ids of; then it starts anew.
-REMEMBERED = 700_000
+#: Units that a worker remembers the ids of, in each of two generations.
+REMEMBERED = 400_000
+#: Texts that are encoded at once.
+AT_ONCE = 500
+_MARKS = ".,;:!?"
+# Plain texts are those of these characters, without apostrophes (contractions), odd or double white space, or a full stop or comma behind
+# anything but a letter or digit. They may be cut before full stops and commas and around line feeds too.
+_LATIN = r"A-Za-z0-9\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F"
+_OTHERS = re.compile(r"[^\x00-\x7E\u00A1-\u00A9\u00AB-\u00B4\u00B6-\u00B9\u00BB-\u024F\u2010-\u2027\u2030-\u205E\u20A0-\u20C0]")
+_ODD = ("'", "  ", "\n\n", "\n ", " \n", "\t", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x1f", "\0")
+_BEHIND_OTHERS = re.compile(rf"(?:^|[^{_LATIN}])[.,]")
 _TOKENIZERS: dict[str, tuple] = {}
 
 
@@ -161,14 +174,13 @@ class UnitEncoder:
     """Encodes texts with the tokenizers library, unit by unit, remembering each unit's ids.
 
     Byte-level BPE first splits a text into pieces that never join a character that is not white space with a single
-    space that follows it, so a text may be cut before any space between two such characters. Texts that hold
-    a special token go to the library whole."""
+    space that follows it, so a text may be cut before any space between two such characters. Plain texts are cut at some marks too, which makes
+    units fewer, all of a batch at once. Texts that hold a special token go to the library whole."""
 
     def __init__(self, path: str):
         os.environ.setdefault("RAYON_NUM_THREADS", "1")
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import json
-        import re
 
         from tokenizers import Tokenizer
 
@@ -179,10 +191,15 @@ class UnitEncoder:
         self.by_unit = spec.get("normalizer") is None and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True)
         self.cut = re.compile(r"(?<=\S)(?= \S)").split
         self.double = re.compile(r"\s\s").search
+        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self.n_bytes = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
+        for piece, i in self.tokenizer.get_vocab().items():
+            self.n_bytes[i] = len(piece)  # byte-level pieces have one character for each byte
         self.ids: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [np.array(x.ids, f"<u{self.width}").tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def units(self, text: str) -> list[str]:
         if self.double(text) or text[:1].isspace() or text[-1:].isspace():
@@ -190,24 +207,79 @@ class UnitEncoder:
         first, *rest = text.split(" ")
         return [first, *[" " + x for x in rest]]
 
+    def _learn(self, missing: set[str]) -> None:
+        """Remembers the ids of units. Most are strung together, so that the library makes one encoding for many; its ids are dealt
+        back by the bytes that each stands for."""
+        # A word and the marks behind it are pieces of their own, and the word alone is often known.
+        marked = [(u, x, u[len(x) :]) for u in missing if u[-1] in _MARKS and (x := u.rstrip(_MARKS))[1:].isalpha() and x[0] == " "]
+        missing.difference_update([u for u, _, _ in marked])
+        missing.update(p for _, x, y in marked for p in (x, y) if p not in self.ids)
+        plain = [u for u in missing if u[0] == " " and len(u) > 1 and not u[1].isspace() and not u[-1].isspace()]
+        odd = list(missing.difference(plain))
+        for lo in range(0, len(odd), 10_000):
+            self.ids.update(zip(odd[lo : lo + 10_000], self.whole(odd[lo : lo + 10_000])))
+        strings = [plain[lo : lo + 300] for lo in range(0, len(plain), 300)]
+        for units, raw in zip(strings, self.whole(["".join(x) for x in strings])):
+            ends = np.cumsum([len(u.encode()) for u in units])
+            reach = np.cumsum(self.n_bytes[np.frombuffer(raw, f"<u{self.width}")])
+            cuts = (np.searchsorted(reach, ends) + 1) * self.width
+            self.ids.update(zip(units, map(raw.__getitem__, map(slice, [0, *cuts[:-1].tolist()], cuts.tolist()))))
+        self.ids.update((u, self.ids[x] + self.ids[y]) for u, x, y in marked)
+
+    def is_plain(self, text: str) -> bool:
+        return not any(x in text for x in _ODD) and (text.isascii() or not _OTHERS.search(text)) and not _BEHIND_OTHERS.search(text) and text[:1] not in ("", " ", "\n") and text[-1] not in " \n"
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, as little-endian unsigned 32-bit integers."""
+        """The ids of each text, as little-endian unsigned integers of `width` bytes."""
         if not self.by_unit:
             return self.whole(texts)
-        if len(self.ids) > REMEMBERED:
-            self.ids.clear()
-        cut = [None if any(s in x for s in self.special) else self.units(x) if x else [] for x in texts]
-        missing = list({u for x in cut if x for u in x if u not in self.ids})
-        for i in range(0, len(missing), 10_000):
-            part = missing[i : i + 10_000]
-            self.ids.update(zip(part, self.whole(part)))
-        get = self.ids.__getitem__
-        out = [b"" if x is None else b"".join(map(get, x)) for x in cut]
-        odd = [i for i, x in enumerate(cut) if x is None]
-        for i, ids in zip(odd, self.whole([texts[i] for i in odd]) if odd else ()):
+        if len(self.ids) > REMEMBERED:  # what is still in use moves on from the old generation
+            self.old, self.ids = self.ids, {}
+        out: list[bytes] = [b""] * len(texts)
+        special = [any(s in x for s in self.special) for x in texts]
+        plain = [not odd and self.is_plain(x) for x, odd in zip(texts, special)]
+        for i, ids in self._encode_plain([i for i, x in enumerate(plain) if x], texts):
+            out[i] = ids
+        rest = [i for i, x in enumerate(texts) if x and not plain[i] and not special[i]]
+        cut = [self.units(texts[i]) for i in rest]
+        self._know(set(chain.from_iterable(cut)))
+        for i, x in zip(rest, cut):
+            out[i] = b"".join(map(self.ids.__getitem__, x))
+        whole = [i for i, x in enumerate(special) if x]
+        for i, ids in zip(whole, self.whole([texts[i] for i in whole]) if whole else ()):
             out[i] = ids
         return out
 
+    def _know(self, units: set[str]) -> None:
+        missing = units.difference(self.ids)
+        again = [u for u in missing if u in self.old]
+        self.ids.update(zip(again, map(self.old.__getitem__, again)))
+        self._learn(missing.difference(again))
+
+    def _encode_plain(self, places: list[int], texts: list[str]) -> Iterator[tuple[int, bytes]]:
+        """Cuts plain texts with Arrow, looks each different unit up once, and strings the ids together with NumPy."""
+        if not places:
+            return
+        cut = pa.array([texts[i] for i in places], pa.large_string())
+        for mark, parted in ((" ", "\0 "), (".", "\0."), (",", "\0,"), ("\n", "\0\n\0")):
+            cut = pc.replace_substring(cut, mark, parted)
+        cut = pc.split_pattern(cut, "\0")
+        coded = cut.values.dictionary_encode()
+        together = pa.ListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int32()), coded.dictionary.cast(pa.string()))
+        units = pc.binary_join(together, "\0")[0].as_py().split("\0")  # far faster than one by one
+        self._know(set(filter(None, units)))
+        ids = [self.ids[u] if u else b"" for u in units]
+        kind = f"<u{self.width}"
+        flat = np.frombuffer(b"".join(ids), kind)
+        n = np.fromiter(map(len, ids), np.int64, len(ids)) // self.width
+        start, index = np.cumsum(n) - n, coded.indices.to_numpy()
+        size = n[index]
+        ends = np.cumsum(size)
+        raw = flat[np.repeat(start[index] - ends + size, size) + np.arange(ends[-1])].tobytes()
+        bounds = np.concatenate(([0], ends))[cut.offsets.to_numpy()] * self.width
+        for i, lo, hi in zip(places, bounds[:-1].tolist(), bounds[1:].tolist()):
+            yield i, raw[lo:hi]
+
 
 def encoder(path: str) -> UnitEncoder:
     if path not in _TOKENIZERS:
@@ -217,11 +289,11 @@ def encoder(path: str) -> UnitEncoder:
 
 # Files
 
-_META = 9  # bytes before the ids
+_META = 10  # bytes before the ids
 
 
-def _payload(row_id: int | None, ids: bytes) -> bytes:
-    return struct.pack("<?q", row_id is None, row_id or 0) + ids
+def _payload(row_id: int | None, ids: bytes, width: int) -> bytes:
+    return struct.pack("<?qB", row_id is None, row_id or 0, width) + ids
 
 
 def _row_id(payload: bytes) -> int | None:
@@ -229,6 +301,11 @@ def _row_id(payload: bytes) -> int | None:
     return None if null else row_id
 
 
+def _ids(payload: bytes) -> bytes:
+    """A payload's token ids as little-endian unsigned 32-bit integers."""
+    return payload[_META:] if payload[_META - 1] == 4 else np.frombuffer(payload, "<u2", offset=_META).astype("<u4").tobytes()
+
+
 def _open(folder: str) -> tuple[pafs.FileSystem, str]:
     fs, path = pafs.FileSystem.from_uri(folder)
     fs.create_dir(path, recursive=True)
@@ -249,7 +326,7 @@ def write_token_records(docs: DataFrame, tokenizer: str, folder: str, id_col: st
     def write(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode, name = encoder(tokenizer).encode, f"part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}"
+        own, name = encoder(tokenizer), f"part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}"
         file = TaskContext.get().partitionId()
         fs = data = None
         offsets, at, n_tokens = [], 0, 0
@@ -261,11 +338,11 @@ def write_token_records(docs: DataFrame, tokenizer: str, folder: str, id_col: st
                     fs, path = _open(folder)
                     data = fs.open_output_stream(f"{path}/{name}.rec")
                 texts = part.column("text").to_pylist()
-                end = struct.pack("<I", end_id)
-                for lo in range(0, len(texts), 200):
-                    ids = part.column("id").slice(lo, 200).to_pylist()
-                    payloads = [_payload(i, x + end) for i, x in zip(ids, encode(texts[lo : lo + 200]))]
-                    n_tokens += sum((len(x) - _META) // 4 for x in payloads)
+                end = end_id.to_bytes(own.width, "little")
+                for lo in range(0, len(texts), AT_ONCE):
+                    ids = part.column("id").slice(lo, AT_ONCE).to_pylist()
+                    payloads = [_payload(i, x + end, own.width) for i, x in zip(ids, own.encode(texts[lo : lo + AT_ONCE]))]
+                    n_tokens += sum((len(x) - _META) // own.width for x in payloads)
                     framed = frame(payloads)
                     for x in framed:
                         offsets.append(at)
@@ -301,7 +378,7 @@ def read_token_records(manifest: DataFrame, folder: str) -> DataFrame:
                         hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + (8 << 20), "right")) - 1)
                         f.seek(int(offsets[lo]))
                         payloads = unframe(f.read(int(offsets[hi] - offsets[lo])))
-                        ids = [x[_META :] for x in payloads]
+                        ids = list(map(_ids, payloads))
                         n = np.fromiter((len(x) // 4 for x in ids), np.int64, len(ids))
                         yield pa.RecordBatch.from_pydict(
                             {
@@ -342,5 +419,5 @@ def shuffled_reads(manifest: DataFrame, folder: str, seed: int, n: int) -> list[
             lo, hi = np.frombuffer(f.read(16), "<u8").tolist()
         with fs.open_input_file(f"{path}/{files[i]['name']}.rec") as f:
             f.seek(lo)
-            out.append(unframe(f.read(hi - lo))[0][_META :])
+            out.append(_ids(unframe(f.read(hi - lo))[0]))
     return out
