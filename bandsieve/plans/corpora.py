@@ -6,12 +6,15 @@ same as SQL common table expressions (flat columns), for checks by another engin
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bandsieve.functions.bands import SIGNALS, band, band_sql, worst, worst_sql
 from bandsieve.functions.stats import round_to
 from bandsieve.schema import VERDICT
+from bandsieve.sources.store import exists, scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,8 +56,25 @@ def _verdict(**fields: Column) -> Column:
     return F.struct(*[(fields[n] if n in fields else F.lit(None)).cast(f.dataType).alias(n) for n, f in zip(names, VERDICT.fields)])
 
 
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame], *parts: str) -> DataFrame:
+    """A store's table for the tables in sf_dir, built and written once a session, as a cascade's runs would have left it."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    path = _STORED.get(key)
+    if path is None or not exists(spark, path):
+        path = _STORED[key] = scratch_path(spark)
+        build().write.partitionBy(*parts).parquet(path)
+    return spark.read.parquet(path)
+
+
 def videos_u(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The catalog: path, embodiment, hash, n_frames, added_at. Every hundredth user's clips are cataloged but have no results."""
+    return stored(spark, sf_dir, "videos", lambda: _videos(spark, sf_dir))
+
+
+def _videos(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = features_u(frames_u(spark, sf_dir))
     return f.select("path", F.element_at(F.split("path", "/"), 2).alias("embodiment"), F.element_at(F.split("path", "/"), -1).alias("hash"), F.lit(None).cast("int").alias("n_frames"), F.col("ran_at").alias("added_at"))
 
@@ -62,6 +82,11 @@ def videos_u(spark: SparkSession, sf_dir: str) -> DataFrame:
 def results_u(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The store's results for corpus U: five ungated cheap stages in version c1, older rows of geometry (c0), a partial newer run of objects (c2), the
     judge (cap) on two thirds of the unsure clips, and error rows in semantic."""
+    rows = stored(spark, sf_dir, "results", lambda: _results(spark, sf_dir), "stage", "version")
+    return rows.select("path", "stage", "version", "verdict", "score", "ran_at")
+
+
+def _results(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = features_u(frames_u(spark, sf_dir)).filter("user_id % 100 <> 99")
     decide = lambda k: band(F.col({"static": "motion"}.get(k, k)), k)
     cheap = worst(decide("black"), decide("blur"), decide("static"))

@@ -20,6 +20,11 @@ def scratch_path(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/bandsieve-{uuid.uuid4().hex}"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Writes a table to the shared folder and reads it back: cuts lineage, survives lost executors."""
     path = scratch_path(df.sparkSession)
@@ -35,9 +40,7 @@ class Store:
         self.spark, self.path = spark, path.rstrip("/")
 
     def _read(self, name: str, schema) -> DataFrame:  # noqa: ANN001
-        jvm = self.spark.sparkContext._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-        if not folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        if not exists(self.spark, f"{self.path}/{name}"):
             return self.spark.createDataFrame([], schema)
         rows = self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
         return rows.select([f.name for f in schema.fields])
