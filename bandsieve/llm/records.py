@@ -163,10 +163,21 @@ AT_ONCE = 500
 _MARKS = ".,;:!?"
 # Plain texts are those of these characters, without apostrophes (contractions), odd or double white space, or a full stop or comma behind
 # anything but a letter or digit. They may be cut before full stops and commas and around line feeds too.
-_LATIN = r"A-Za-z0-9\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F"
-_OTHERS = re.compile(r"[^\x00-\x7E\u00A1-\u00A9\u00AB-\u00B4\u00B6-\u00B9\u00BB-\u024F\u2010-\u2027\u2030-\u205E\u20A0-\u20C0]")
-_ODD = ("'", "  ", "\n\n", "\n ", " \n", "\t", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x1f", "\0")
-_BEHIND_OTHERS = re.compile(rf"(?:^|[^{_LATIN}])[.,]")
+def _byte_classes() -> bytes:
+    """A class for each byte of UTF-8: L letters and digits (ASCII, or U+00C0 to U+027F), S space, N line feed, P full stop and comma, O what plain
+    texts don't hold, and - for other marks."""
+    out = bytearray(b"O" * 32 + b"-" * 95 + b"O" + b"L" * 64 + b"OOO" + b"L" * 7 + b"O" * 54)
+    for x in range(128):
+        if chr(x).isalnum():
+            out[x] = ord("L")
+    for marks, kind in ((b" ", b"S"), (b"\n", b"N"), (b".,", b"P"), (b"'", b"O")):
+        for x in marks:
+            out[x] = kind[0]
+    return bytes(out)
+
+
+_CLASSES = _byte_classes()
+_NOT_PLAIN = (b"O", b"SS", b"NN", b"NS", b"SN", b"-P", b"PP", b"SP", b"NP")
 _TOKENIZERS: dict[str, tuple] = {}
 
 
@@ -227,7 +238,10 @@ class UnitEncoder:
         self.ids.update((u, self.ids[x] + self.ids[y]) for u, x, y in marked)
 
     def is_plain(self, text: str) -> bool:
-        return not any(x in text for x in _ODD) and (text.isascii() or not _OTHERS.search(text)) and not _BEHIND_OTHERS.search(text) and text[:1] not in ("", " ", "\n") and text[-1] not in " \n"
+        if not text or "\u00d7" in text or "\u00f7" in text:
+            return False
+        kinds = text.encode("utf-8", "surrogatepass").translate(_CLASSES)
+        return not any(x in kinds for x in _NOT_PLAIN) and kinds[0] not in b"SNP" and kinds[-1] not in b"SN"
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as little-endian unsigned integers of `width` bytes."""
