@@ -89,6 +89,9 @@ def test_quality_order_never_changes_the_verdict(docs):
     verdicts = [any(r.rejects(quality.Features(x)) for r in rules) for x in texts]
     assert by_id(quality.apply_rules(docs), "kept") == sorted(((i, not v) for (i, _), v in zip(TEXTS, verdicts)), key=str)
     assert {r.name for r in quality.order_rules(rules, texts)} == {r.name for r in rules}
+    kept = quality.kept_documents(docs)
+    assert kept.columns == docs.columns
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(str(i) for (i, _), v in zip(TEXTS, verdicts) if not v)
 
 
 def test_quality_order_is_by_rejections_per_cost():
