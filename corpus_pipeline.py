@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bandsieve.llm import exact_dedup, mixing, near_dedup, pieces, quality
-from bandsieve.llm._shared import broadcast_if_small, materialize, read
+from bandsieve.llm._shared import materialize, read
 from bandsieve.session import ship
 
 #: Segmentations of a text are in the last stage's result; no SQL has them.
@@ -20,15 +20,16 @@ def _keep(docs: DataFrame, decisions: DataFrame, repeats: str | None = None) ->
     """The documents of the decided ids, each as many times as `repeats` says. Rows that share an id, or have none, share the
     most favourable decision."""
     times = F.max(repeats) if repeats else F.lit(1).cast("long")
-    picked = broadcast_if_small(materialize(decisions.groupBy(F.col("doc_id").alias("_kept_id")).agg(times.alias("_times"))))
-    out = docs.join(picked, docs["doc_id"].eqNullSafe(picked["_kept_id"]))
+    picked = materialize(decisions.groupBy(F.col("doc_id").alias("_kept_id")).agg(times.alias("_times")))
+    # Always by a shuffle: decisions are as many as documents, and the plan should be the same at every size.
+    out = docs.join(picked.hint("merge"), docs["doc_id"].eqNullSafe(picked["_kept_id"]))
     if repeats:
         out = out.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_times")))
     return out.select(docs.columns)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _keep(docs, quality.apply_rules(docs, counts=()).filter("kept"))
+    return quality.kept_documents(docs)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
