@@ -31,9 +31,9 @@ from pyspark.sql import functions as F
 from bandsieve.llm._shared import hash64, mix64, small_batches
 
 #: Units whose lattices a worker keeps; then it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 250_000
 #: Units that are walked at once.
-AT_ONCE = 150_000
+AT_ONCE = 40_000
 _LATIN = re.compile(r"[A-Za-z\u00C0-\u024F]")
 _MODELS: dict[str, PieceModel] = {}
 
@@ -129,9 +129,9 @@ class PieceModel:
             heads = np.flatnonzero(np.diff(x, prepend=-1))
             beta[x[heads]] = np.logaddexp.reduceat(beta[dst[lo:hi]] + lps[lo:hi], heads)
         log_p = np.minimum(beta[dst] + lps - beta[src], 0.0)
-        order = np.lexsort((-log_p, src))
-        src, dst, piece, log_p = src[order], dst[order], piece[order], log_p[order]
         p = np.exp(log_p)
+        order = np.argsort(src - 0.5 * p)  # by node, likeliest edge first
+        src, dst, piece, log_p, p = src[order], dst[order], piece[order], log_p[order], p[order]
         heads = np.flatnonzero(np.diff(src, prepend=-1))
         sizes = np.diff(heads, append=len(src))
         total = np.cumsum(p)
