@@ -175,6 +175,19 @@ def test_repeated_passages(docs, empty):
     assert substrings.repeated_passages(empty).count() == 0
 
 
+def test_passages_with_a_word_put_in_or_left_out(spark):
+    tokens = lambda x: substrings.shingle_hashes(" ".join(x).encode().split(), 5).astype(np.uint32).tobytes()
+    a = words(50, 200).split()
+    for b in (a[:25] + ["putin"] + a[25:], a[:25] + a[26:] + ["after"]):
+        in_a, in_b = substrings.verify(tokens(a), tokens(b), 0, 46)
+        assert in_a == [(0, 46)] and len(in_b) == 1
+    long = words(300, 201).split()
+    edited = [y for i, x in enumerate(long) for y in ([x, f"new{i}"] if i % 40 == 39 else [x])]
+    df = spark.createDataFrame([(1, words(60, 202) + " " + " ".join(long)), (2, " ".join(edited) + " " + words(60, 203))], "doc_id long, text string")
+    got = by_id(substrings.repeated_passages(df), "start_word", "end_word")
+    assert {i for i, _, _ in got} == {1, 2} and sum(e - s for i, s, e in got if i == 1) > 270
+
+
 # 4. Secrets
 
 
