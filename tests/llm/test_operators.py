@@ -188,6 +188,33 @@ def test_passages_with_a_word_put_in_or_left_out(spark):
     assert {i for i, _, _ in got} == {1, 2} and sum(e - s for i, s, e in got if i == 1) > 270
 
 
+def test_copies_between_documents_that_share_only_a_template(spark):
+    rows, wanted = [], set()
+    for g in range(40):
+        template, own = words(40, 300 + g), words(10, 400 + g)
+        rows += [(4 * g + k, f"{words(60, 1000 + 4 * g + k)} {template} {own if k in (1, 2) else words(10, 2000 + 4 * g + k)} {words(60, 3000 + 4 * g + k)}") for k in range(4)]
+        wanted |= {4 * g + 1, 4 * g + 2}
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = substrings.repeated_passages(df, bands=1).collect()
+    assert {r["doc_id"] for r in got} == wanted
+    assert all(r["start_word"] <= 65 and r["end_word"] >= 110 and r["n_links"] == 1 for r in got)
+
+
+def test_tiles_equal_pairs():
+    rng = np.random.default_rng(3)
+    u = [(i, 5, rng.integers(0, 60, 30).astype(np.uint32)) for i in range(6)]
+    m = [(i % 9, 0, np.where(rng.random(30) < 0.1, 99, u[i % 6][2]).astype(np.uint32)) for i in range(20)]
+    want = {}
+    for i, begin, x in u:
+        for j, _, y in m:
+            for s, e in substrings._spans(np.isin(x, y), 9) if i != j else []:
+                want.setdefault((i, s + begin, e + begin), set()).add(j)
+    got = {}
+    for i, s, e, low, n in substrings.tile_spans(u, m, 9):
+        got[i, s, e] = min(low, got.get((i, s, e), low))
+    assert got == {k: min(v) for k, v in want.items()}
+
+
 # 4. Secrets
 
 
