@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import inspect
 import random
 import re
 import zlib
@@ -215,6 +216,17 @@ def test_tiles_equal_pairs():
     assert got == {k: min(v) for k, v in want.items()}
 
 
+def test_passages_of_similarity_08_share_a_signature():
+    bands, rng = inspect.signature(substrings.repeated_passages).parameters["bands"].default, np.random.default_rng(8)
+    missed = 0
+    for _ in range(200):
+        x = rng.integers(0, 1 << 63, 46).astype(np.uint64)
+        y = x.copy()
+        y[rng.choice(46, 5, replace=False)] = rng.integers(0, 1 << 63, 5)  # 41 of 51 in common
+        missed += not np.isin(substrings.signatures(x, 46, bands)[0], substrings.signatures(y, 46, bands)[0]).any()
+    assert missed <= 1
+
+
 # 4. Secrets
 
 
