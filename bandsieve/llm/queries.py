@@ -43,7 +43,7 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(ship(spark), sf_dir, "documents")
-    return pieces.sample_segmentations(docs, tokenizer_path("piece_bpe_32k.model"), samples=2, with_ids=False)
+    return pieces.sample_segmentations(docs, tokenizer_path("piece_bpe_32k.model"), samples=2)
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

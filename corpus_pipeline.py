@@ -47,7 +47,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def segment(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return pieces.sample_segmentations(docs, public_tokenizers.path("piece_bpe_32k.model"), samples=2, with_ids=False)
+    return pieces.sample_segmentations(docs, public_tokenizers.path("piece_bpe_32k.model"), samples=2)
 
 
 STAGES = [("quality_rules", quality_rules), ("exact_dedup", exact), ("near_dedup", near), ("mixing", mix), ("sentencepiece", segment)]

@@ -4,6 +4,7 @@ import math
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from bandsieve.llm import queries
@@ -47,3 +48,15 @@ def test_pipeline_stages(spark):
 def test_pipeline_handles_nothing(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_results_hold_the_segmentations(spark):
+    from bandsieve.llm import pieces
+
+    model = queries.tokenizer_path("piece_bpe_32k.model")
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").limit(40)
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    last = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
+    for rows in (pieces.decode_segmentations(last, model), pieces.decode_segmentations(queries.op5_sentencepiece(spark, SF).filter(F.col("doc_id").isin(list(texts))), model)):
+        got = rows.collect()
+        assert {r["doc_id"] for r in got} == set(texts) and all(r["text"] == texts[r["doc_id"]] for r in got)
