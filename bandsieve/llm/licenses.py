@@ -1,6 +1,6 @@
 """Licence scans by sentence rules, in DataFrame operations only.
 
-A text is cut into sentences, each is normalised (lower case, only letters, digits, dots and pluses, single spaces) and
+A text is cut into sentences (lines of a hard-wrapped one are joined, and so are comments' lines), each is normalised (lower case, only letters, digits, dots and pluses, single spaces) and
 mapped to the identifier of a known licence sentence. The sequence of known identifiers is then matched against ordered
 rules: a rule's identifiers must stand next to each other (unknown sentences in between don't count), what matches is taken out of
 the sequence, and later rules see the rest. What is left is reported as unmatched.
@@ -92,7 +92,15 @@ RULES = (
     ("CC-BY", ("cc_by",)),
 )
 
-#: Sentences end at line ends and at full stops and the like before white space.
+#: Beginnings of known sentences; at the start of a line they begin a sentence even without a blank line or a full stop before.
+_OPEN = r"(?:Permission|Redistributions?|Licensed|Released|Distributed|Available|Dedicated|Neither|Copyright|SPDX|This|THIS|You|The (?:above|[Ss]oftware)|THE SOFTWARE)\b"
+#: Sentences end at lines without a letter or digit, before a known beginning on a new line, at full stops before a capital, and at ; and :
+#: other than in 'free software: you' and 'Foundation; either version'.
+_CUT = (
+    r"\n[^\p{L}\p{N}\n]*\n|\n(?=[^\p{L}\p{N}\n]*" + _OPEN + r")"
+    r"|[.!?][\x22')\]]*\s+(?=[^\p{L}\p{N}]*\p{Lu})|(?<!(?i:software))[;:]\s+(?![^\p{L}\p{N}]*(?i:either)\s)"
+)
+#: The pieces of a sentence, and what the SQL takes as sentences: ends at line ends and at full stops and the like before white space.
 _END = r"\n|[.!?;:][\x20\x09\x0B-\x0D]+"
 _OTHER = r"[^a-z0-9.+]+"
 
@@ -109,6 +117,15 @@ def sentence_id(s: Column) -> Column:
     return out
 
 
+def known_in(sentence: Column) -> Column:
+    """The known sentences in a sentence in lower case: the one that it is, or those of its pieces if they are several."""
+    one = lambda x: F.transform(F.transform(x, normalise), sentence_id)
+    known = lambda x: F.filter(x, lambda y: y.isNotNull())
+    pick = lambda pieces, whole: F.when((F.size(pieces) > 1) | (F.size(whole) == 0), pieces).otherwise(whole)
+    both = F.array(F.struct(known(one(F.split(sentence, _END))).alias("pieces"), known(one(F.array(sentence))).alias("whole")))
+    return F.element_at(F.transform(both, lambda x: pick(x["pieces"], x["whole"])), 1)
+
+
 def has_cue(low: Column) -> Column:
     out = low.contains(CUES[0])
     for cue in CUES[1:]:
@@ -121,8 +138,8 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     A narrow plan: one scan, no shuffle, no Python."""
     # A projection of its own, so that texts are put in lower case once.
-    low = docs.select(F.col(id_col).alias("id"), F.lower(F.col(text_col)).alias("low"))
-    known = F.filter(F.transform(F.split("low", _END), lambda s: sentence_id(normalise(s))), lambda x: x.isNotNull())
+    low = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("raw"), F.lower(F.col(text_col)).alias("low"))
+    known = F.flatten(F.transform(F.transform(F.split("raw", _CUT), F.lower), known_in))
     ids = F.when(has_cue(F.col("low")), known).otherwise(F.array().cast("array<string>"))
     sequence = F.concat(F.lit(""), F.array_join(F.transform("ids", lambda x: F.concat(F.lit("["), x, F.lit("]"))), ""))
     rules = F.array(*[F.struct(F.lit(name).alias("name"), F.lit("".join(f"[{x}]" for x in parts)).alias("ids")) for name, parts in RULES])

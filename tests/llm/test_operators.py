@@ -411,6 +411,62 @@ def test_licenses(spark, docs, empty):
         assert any(c in pattern.replace("(", "").replace(")", "") or c in flat for c in licenses.CUES)
 
 
+def test_licenses_of_wrapped_standard_texts(spark):
+    mit = """MIT License
+
+Copyright (c) 2020 A. Person
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED."""
+    bsd = """Copyright (c) 2020, A. Person. All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain
+   the above copyright notice.
+2. Redistributions in binary form must
+   reproduce the above copyright notice.
+3. Neither the name of the holder nor the names of its contributors may be used
+   to endorse or promote products without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND
+CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED."""
+    isc = """Copyright (c) 2020 A. Person
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies."""
+    gpl = """This program is free software%s you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation%s either version %d of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of FITNESS.
+
+You should have received a copy of the GNU General Public License
+along with this program."""
+    mpl = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this file, you can obtain one."""
+    apache = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+Unless required by law, software
+distributed under the License is distributed on an "AS IS" BASIS."""
+    cases = [(mit, "MIT;"), (bsd, "BSD-3-Clause;"), (isc, None), (gpl % (":", ",", 3), "GPL-3.0-or-later;"), (gpl % (";", ";", 2), "GPL-2.0-or-later;"), (mpl, "MPL-2.0;"), (apache, "Apache-2.0;")]
+    cases += [("\n".join(f"{mark} {x}".rstrip() for x in t.split("\n")), want) for t, want in cases for mark in ("//", " *", "#")]
+    cases += [("licensed under the mit license\nlicensed under cc by 4.0. released under the bsd license", "MIT;BSD;CC-BY;")]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in licenses.scan_licenses(df).collect()}
+    assert [got[i]["licenses"] for i in range(len(cases))] == [want or "ISC;" for _, want in cases]
+    assert all(got[i]["unmatched"] == "" for i, (_, want) in enumerate(cases) if want)
+
+
 # 9. Near dedup
 
 
