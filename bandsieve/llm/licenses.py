@@ -15,7 +15,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Cue words (every known sentence holds one), known sentences (patterns over normalised text), rules.
-CUES = ("licen", "permission", "copyright notice", "copyright holder", "redistribut", "warrant", "free software", "public domain")
+# Cues are parts of single words, which normalising can't alter, so they are the same in raw text.
+CUES = ("licen", "permission", "copyright", "redistribut", "warrant", "domain", "cc0")
+#: The cues of the SQL.
+_SQL_CUES = ("licen", "permission", "copyright notice", "copyright holder", "redistribut", "warrant", "free software", "public domain")
 
 SENTENCES = (
     ("apache2", r"licensed under the apache license version 2(\.0)?"),
@@ -156,7 +159,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def oracle_sql() -> str:
     quote = lambda x: "'" + x.replace("'", "''") + "'"
     cases = " ".join(f"WHEN regexp_matches(s, {quote(p)}) THEN {quote(n)}" for n, p in SENTENCES)
-    cues = " OR ".join(f"contains(lower(text), {quote(c)})" for c in CUES)
+    cues = " OR ".join(f"contains(lower(text), {quote(c)})" for c in _SQL_CUES)
     steps = [
         f"d AS (SELECT doc_id, CASE WHEN {cues} THEN list_filter(list_transform(list_transform(regexp_split_to_array(text, {quote(_END)}), lambda x: rtrim(trim(regexp_replace(lower(x), {quote(_OTHER)}, ' ', 'g')), '.')), lambda s: CASE {cases} END), lambda y: y IS NOT NULL) ELSE [] END AS ids FROM documents)",
         "r0 AS (SELECT doc_id, len(ids) AS n_known, coalesce(array_to_string(list_transform(ids, lambda x: '[' || x || ']'), ''), '') AS l, '' AS f FROM d)",

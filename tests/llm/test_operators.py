@@ -467,6 +467,43 @@ distributed under the License is distributed on an "AS IS" BASIS."""
     assert all(got[i]["unmatched"] == "" for i, (_, want) in enumerate(cases) if want)
 
 
+def alternatives(pattern):
+    """All texts of a pattern of groups, options and alternatives."""
+    from re import _parser
+
+    def texts(parts):
+        out = [""]
+        for op, arg in parts:
+            name = str(op)
+            if name == "LITERAL":
+                more = [chr(arg)]
+            elif name == "IN":
+                more = [chr(arg[0][1])] if str(arg[0][0]) == "LITERAL" else ["x"]
+                more = [chr(a) for o, a in arg if str(o) == "LITERAL"] or more
+            elif name == "ANY":
+                more = ["x"]
+            elif name == "AT":
+                more = [""]
+            elif name == "SUBPATTERN":
+                more = texts(arg[3])
+            elif name == "BRANCH":
+                more = [y for x in arg[1] for y in texts(x)]
+            else:
+                more = [y for y in ([""] if arg[0] == 0 and str(arg[2][0][0]) != "ANY" else []) + texts(arg[2])]
+            out = [x + y for x in out for y in dict.fromkeys(more)]
+        return out
+
+    return texts(_parser.parse(pattern))
+
+
+def test_every_alternative_of_a_known_sentence_is_scanned(spark):
+    cases = [x for _, p in licenses.SENTENCES for x in alternatives(p)]
+    cases += ["Released under CC0 1.0.", "dedicated to all under CC0", "dedicated by the public-domain  dedication", "free and unencumbered software released into the public\ndomain"]
+    df = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    got = {r["doc_id"]: r["n_known"] for r in licenses.scan_licenses(df).collect()}
+    assert len(cases) > 150 and [cases[i] for i in range(len(cases)) if got[i] == 0] == []
+
+
 # 9. Near dedup
 
 
