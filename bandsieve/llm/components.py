@@ -7,39 +7,13 @@ from pyspark.sql import functions as F
 
 from bandsieve.llm._shared import materialize
 
-#: Links that one task may hold; tables that a count shows to be larger are worked on in rounds.
-ONE_TASK = 200_000
 
-
-def _in_one_task(edges: DataFrame) -> DataFrame:
-    def find(parts):  # noqa: ANN001, ANN202
-        import pandas as pd
-
-        root: dict = {}
-
-        def top(x):  # noqa: ANN001, ANN202
-            while root.setdefault(x, x) != x:
-                root[x] = x = root[root[x]]
-            return x
-
-        for part in parts:
-            for a, b in zip(part["u"].tolist(), part["v"].tolist()):
-                a, b = top(a), top(b)
-                root[max(a, b)] = min(a, b)
-        yield pd.DataFrame([(x, top(x)) for x in root], columns=["node", "component"])
-
-    kind = edges.schema["u"].dataType.simpleString()
-    return edges.coalesce(1).mapInPandas(find, f"node {kind}, component {kind}")
-
-
-def components(links: DataFrame, one_task: int = ONE_TASK) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """node and component (its smallest reachable node) for every node of links (a, b).
 
-    Up to `one_task` links, counted, go to one task. Beyond that it alternates large-star and small-star steps until nothing
-    changes: rounds grow with the logarithm of a component's size, and a node's links are only ever reduced to a minimum, never gathered."""
+    Large-star and small-star steps alternate until nothing changes: rounds grow with the logarithm of a component's size, and a
+    node's links are only ever reduced to a minimum, never gathered."""
     edges = materialize(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct())
-    if edges.limit(one_task + 1).count() <= one_task:
-        return _in_one_task(edges)
     before = None
     while True:
         # Large star: every larger neighbour of u gets u's smallest neighbour.
