@@ -355,12 +355,59 @@ def test_base_spans_equal_plain_regex():
     assert sorted(secrets.base_spans(t)) == sorted(want) and len(want) == 3
 
 
-def test_markov_held_out_accuracy():
-    pair = secrets.train(secrets.labelled_samples(VOCAB + ["index", "value", "reader"], seed=11))
-    held = secrets.labelled_samples(VOCAB + ["index", "value", "reader"], n=500, seed=99)
-    right = sum((pair.score(x) > pair.threshold) == bool(y) for x, y in held)
-    false = sum(pair.score(x) > pair.threshold for x, y in held if not y)
-    assert right / len(held) > 0.95 and false / 500 < 0.01
+def test_models_tell_keys_of_every_alphabet_from_ordinary_strings():
+    """Held-out recall of planted keys, and false positives, by alphabet and length."""
+    pair = secrets.train(secrets.labelled_samples(VOCAB + ["index", "value", "reader"]))
+    rng = random.Random(77)
+    low, up, digits = secrets.ALPHABET[26:52], secrets.ALPHABET[:26], secrets.ALPHABET[52:62]
+    for alphabet in (low, up, low + up, low + up + digits, low + digits, up + digits, up + "234567", digits + "ABCDEF", low + up + digits + "+/", low + up + digits + "_-"):
+        for k, least in ((16, 0.85), (24, 0.95), (40, 0.99)):
+            keys = ["".join(rng.choices(alphabet, k=k)) for _ in range(300)]
+            assert pair.secret(keys).mean() >= least, (alphabet, k)
+    assert pair.secret(["QZXKJWVPBTRMNHGD", "xqzkvjwpbtrmnhgdqz"]).all()
+    ordinary = secrets.ordinary_strings(rng, 3000, VOCAB)
+    assert pair.secret(ordinary).mean() < 0.005
+    assert not pair.secret(["1234567890123456", "----------------", "aaaaaaaaaaaaaaaaaaaaaa", "2024-01-31-reader-000012"]).any()
+    alone = [pair.score(x) for x in ordinary[:50]]
+    assert np.allclose(alone, pair.scores(ordinary[:50]))
+
+
+def naive_base(text):
+    """(start, kind, end) by trying every place in turn."""
+    out = []
+    patterns = [r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", r"AKIA[A-Z0-9]+", r"[0-9a-f]+"]
+    for kind, pattern in enumerate(map(re.compile, patterns)):
+        i = 0
+        while i < len(text):
+            m = pattern.match(text, i)
+            if m and (kind == 0 and len(m[2]) >= 6 or kind == 1 and len(m[0]) >= 20 or kind == 2 and len(m[0]) >= 24):
+                out.append((m.start(), kind, m.end()))
+            i = max(m.end(), i + 1) if m else i + 1
+    return sorted(out)
+
+
+def test_secret_query_against_every_place_of_every_text(spark):
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    rows = queries.op4_secret_scan(spark, "/root/testdata/sf0.001").collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(texts)
+    for r in rows:
+        want = naive_base(texts[r["doc_id"]])
+        assert [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(k == kind for _, k, _ in want) for kind in range(3)]
+        text = ",".join(f"{secrets.KINDS[k]}:{s}:{e}" for s, k, e in want)
+        assert r["base_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+        assert set(text.split(",")) - {""} <= set(r["spans"].split(","))
+
+
+def test_a_text_with_many_spans():
+    text = " ".join(f"token={i:06d}x q{i}Zk1LxT9vBn3RwYc5Hd" for i in range(3000))
+    pair = secrets.train(secrets.labelled_samples(VOCAB))
+    (spans,) = secrets.find_secrets([text], pair)
+    assert sum(k == 0 for _, k, _ in spans) == 3000 and sum(k == 3 for _, k, _ in spans) > 2900
+
+
+def test_words_are_picked_by_hash(spark):
+    df = spark.createDataFrame([(i, f"word{chr(97 + i % 26)} w{i}") for i in range(500)], "doc_id long, text string")
+    assert secrets.corpus_words(df.repartition(5), rows=20) == secrets.corpus_words(df.orderBy(F.desc("doc_id")), rows=20)
 
 
 def test_secret_scan(spark, docs, empty):
