@@ -5,8 +5,8 @@ functions a sketch keeps the truncated minimum: with x the smallest hash as an e
 floor(OFFSET - log_base(x)), held within bounds. Registers of a union are the maxima, and two sets' registers agree
 with a probability that rises with their similarity.
 
-1. Documents with equal sets form a class (by a 128-bit digest of the sorted set); classes are compared through their
-   smallest member, so copies are never expanded into pairs.
+1. Documents with equal sets form a class (by a 128-bit digest of the sorted set, which names it); a class is compared through one
+   member, so copies are never expanded into pairs. Rows that share an id join their classes.
 2. Registers are cut into bands; classes that agree in all registers of a band share a bucket. In each bucket every class is
    compared with the bucket's smallest. A candidate's similarity is first estimated jointly: the likelihood of the numbers of
    registers that are equal, larger and smaller is maximised over the Jaccard similarity. Where even a
@@ -17,14 +17,17 @@ with a probability that rises with their similarity.
    tiles of bounded size, a tile's intersections are one matrix product inside a task, and only links that join components leave it.
    So a link between two classes that are both unlike the stars' centres is not lost, and pairs are never expanded into rows.
 
-Null, empty and blank texts have empty sets, n_shingles 0, and are linked with nothing. Repeated rows with equal ids
+Joins on classes and buckets are of large tables, so adaptive execution splits a hot key's rows; what a class has found goes back to its rows
+by partition and digest, so a third of all rows with one text still spread over all tasks.
+
+Null, empty and blank texts have empty sets, n_shingles 0, and are linked with nothing. Repeated rows with equal ids, whatever their texts,
 fall together. A null id is left as a document of its own. Extra columns don't matter: only id and text are read.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -86,7 +89,7 @@ def joint_estimate(equal: np.ndarray, above: np.ndarray, below: np.ndarray, size
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, width: int, registers: int, seed: int) -> DataFrame:
-    """id, n_shingles, set_digest (binary, null for empty sets) and sketch (binary, two bytes a register)."""
+    """id, part (the partition that read the row), n_shingles, set_digest (binary, null for empty sets) and sketch (binary, two bytes a register)."""
     mult, add = _functions(registers, seed)
     id_type = docs.schema[id_col].dataType.simpleString()
 
@@ -96,29 +99,36 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, width: int, registers:
             for data in column_bytes(part, "text"):
                 s = np.unique(shingle_hashes((data or b"").lower().split(), width))
                 n.append(len(s))
-                digest.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
+                digest.append(_digest(s))
                 rows.append(registers_of(s, mult, add).astype("<u2").tobytes() if len(s) else None)
-            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(rows, pa.binary())], names=["id", "n_shingles", "set_digest", "sketch"])
+            yield pa.RecordBatch.from_arrays([part.column("id"), part.column("part"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(rows, pa.binary())], names=["id", "part", "n_shingles", "set_digest", "sketch"])
         forget_words()
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(sketch, f"id {id_type}, n_shingles long, set_digest binary, sketch binary")
+    rows = docs.select(F.col(id_col).alias("id"), F.spark_partition_id().alias("part"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(sketch, f"id {id_type}, part int, n_shingles long, set_digest binary, sketch binary")
+
+
+def _digest(s: np.ndarray) -> bytes | None:
+    return xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """id and shingles (binary, sorted 64-bit hashes) of the wanted ids."""
-    id_type = docs.schema[id_col].dataType.simpleString()
+    """d and shingles (binary, sorted 64-bit hashes) of the wanted classes (id of a member, d the set's digest).
+
+    An id may have several texts: only those with the class's set are taken."""
 
     def sets(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            out = [np.unique(shingle_hashes((x or b"").lower().split(), width)).tobytes() for x in column_bytes(part, "text")]
-            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(out, pa.binary())], names=["id", "shingles"])
+            found = [np.unique(shingle_hashes((x or b"").lower().split(), width)) for x in column_bytes(part, "text")]
+            on = [i for i, (x, d) in enumerate(zip(found, part.column("d").to_pylist())) if _digest(x) == d]
+            yield pa.RecordBatch.from_arrays([part.column("d").take(pa.array(on, pa.int64())), pa.array([found[i].tobytes() for i in on], pa.binary())], names=["d", "shingles"])
         forget_words()
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(broadcast_if_small(wanted), "id", "left_semi")
-    return rows.mapInArrow(sets, f"id {id_type}, shingles binary").dropDuplicates(["id"])
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(broadcast_if_small(wanted), "id")
+    return rows.mapInArrow(sets, "d binary, shingles binary").dropDuplicates(["d"])
 
 
-def _likely(pairs: DataFrame, percent: int, z: float, id_type: str) -> DataFrame:
+def _likely(pairs: DataFrame, percent: int, z: float) -> DataFrame:
     """Pairs (a, b with sketches) whose joint estimate may reach the threshold."""
 
     def keep(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,16 +142,15 @@ def _likely(pairs: DataFrame, percent: int, z: float, id_type: str) -> DataFrame
             ok = (high * 100 >= percent) & (100 * np.minimum(*n) >= percent * np.maximum(*n))
             yield part.select(["a", "b"]).filter(pa.array(ok))
 
-    return pairs.mapInArrow(keep, f"a {id_type}, b {id_type}")
+    return pairs.mapInArrow(keep, "a binary, b binary")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int, percent: int, id_type: str) -> DataFrame:
+def _verified(pairs: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
     """a, b, sim, linked: exact similarity of pairs; linked if 100 * intersection >= percent * union."""
     pairs = materialize(pairs.distinct())
-    wanted = materialize(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct())
-    sets = materialize(full_sets(docs, wanted, id_col, text_col, width))
-    left = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("set_a")), "a")
-    both = left.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("set_b")), "b").select("a", "b", "set_a", "set_b")
+    sets = sets_of(pairs.select(F.col("a").alias("d")).union(pairs.select(F.col("b").alias("d"))).distinct())
+    left = pairs.join(sets.select(F.col("d").alias("a"), F.col("shingles").alias("set_a")), "a")
+    both = left.join(sets.select(F.col("d").alias("b"), F.col("shingles").alias("set_b")), "b").select("a", "b", "set_a", "set_b")
 
     def check(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -154,7 +163,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, wid
                 ok.append(100 * common >= percent * union)
             yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(sim, pa.float64()), pa.array(ok, pa.bool_())], names=["a", "b", "sim", "linked"])
 
-    return materialize(both.mapInArrow(check, f"a {id_type}, b {id_type}, sim double, linked boolean"))
+    return materialize(both.mapInArrow(check, "a binary, b binary, sim double, linked boolean"))
 
 
 def intersections(left: list[np.ndarray], right: list[np.ndarray], columns: int = 8192) -> np.ndarray:
@@ -193,7 +202,7 @@ def join_tile(u: list[tuple], m: list[tuple], percent: int) -> list[tuple]:
     return out
 
 
-def _tiled(inside: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int, percent: int, id_type: str) -> DataFrame:
+def _tiled(inside: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
     """Links (a, b) of members outside of their bucket's main component (bucket, rep, component, main) with any member."""
     n = materialize(inside.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"), F.count_if(F.col("component") != F.col("main")).alias("u")))
     rows = inside.join(broadcast_if_small(n), "bucket")
@@ -202,9 +211,8 @@ def _tiled(inside: DataFrame, docs: DataFrame, id_col: str, text_col: str, width
     every = lambda c: F.explode(F.sequence(F.lit(0), blocks(c) - 1))
     left = rows.filter("component <> main").select("bucket", own("u").alias("i"), every("m").alias("j"), "rep", "component", F.lit(True).alias("is_u"))
     right = rows.select("bucket", every("u").alias("i"), own("m").alias("j"), "rep", "component", F.lit(False).alias("is_u"))
-    wanted = materialize(inside.select(F.col("rep").alias("id")).distinct())
-    sets = materialize(full_sets(docs, wanted, id_col, text_col, width).withColumnRenamed("id", "rep"))
-    tiles = left.union(right).join(sets, "rep")
+    sets = sets_of(inside.select(F.col("rep").alias("d")).distinct())
+    tiles = left.union(right).join(sets.withColumnRenamed("d", "rep"), "rep")
 
     def work(pdf):  # noqa: ANN001, ANN202
         import pandas as pd
@@ -214,7 +222,7 @@ def _tiled(inside: DataFrame, docs: DataFrame, id_col: str, text_col: str, width
         u, m = [x for x, y in zip(rows, is_u) if y], [x for x, y in zip(rows, is_u) if not y]
         return pd.DataFrame(join_tile(u, m, percent) if u and m else [], columns=["a", "b"])
 
-    return materialize(tiles.groupBy("bucket", "i", "j").applyInPandas(work, f"a {id_type}, b {id_type}").distinct())
+    return materialize(tiles.groupBy("bucket", "i", "j").applyInPandas(work, "a binary, b binary").distinct())
 
 
 def _mixed(held: DataFrame, comp: DataFrame) -> DataFrame:
@@ -229,13 +237,18 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Columns: the id, n_shingles, component_id, kept (the id is its component's smallest).
 
     bands x rows registers: with 16 x 4 a pair of similarity 0.8 misses all buckets with probability 2e-4, one of 0.85 with 1e-5."""
-    spark = docs.sparkSession
-    small_batches(spark)
-    id_type = docs.schema[id_col].dataType.simpleString()
+    small_batches(docs.sparkSession)
     all_rows = materialize(sketches(docs, id_col, text_col, width, bands * rows, seed))
-    # 1. Classes of equal sets. The salt spreads a large class; its partial minima meet again by class.
+    # 1. Classes of equal sets.
     some = all_rows.filter("set_digest is not null and id is not null")
-    classes = materialize(some.groupBy("set_digest").agg(F.min("id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")))
+    classes = materialize(some.groupBy(F.col("set_digest").alias("rep")).agg(F.min("id").alias("id"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")))
+    first_of = some.groupBy("id").agg(F.min("set_digest").alias("b"), F.max("set_digest").alias("z")).filter("b <> z").select("id", "b")
+    shared_ids = materialize(some.select("id", F.col("set_digest").alias("a")).join(first_of, "id").filter("a <> b").select("a", "b").distinct())
+
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        members = materialize(wanted.join(classes.select(F.col("rep").alias("d"), "id"), "d"))
+        return materialize(full_sets(docs, members, id_col, text_col, width))
+
     # 2. Buckets.
     band = lambda k: F.xxhash64(F.lit(k), F.substring("sketch", 2 * rows * k + 1, 2 * rows))
     keyed = classes.select("rep", F.posexplode(F.array(*map(band, range(bands)))).alias("band", "bucket")).select("rep", "bucket")
@@ -244,9 +257,9 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     facts = classes.select("rep", "n", "sketch")
     side = lambda s: facts.select(F.col("rep").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}"))
     full = lambda p: p.join(side("a"), "a").join(side("b"), "b")
-    check = lambda pairs: _verified(_likely(full(pairs), percent, 4.5, id_type), docs, id_col, text_col, width, percent, id_type)
+    check = lambda pairs: _verified(_likely(full(pairs), percent, 4.5), sets_of, percent)
     first = check(held.filter("rep <> low").select(F.col("rep").alias("a"), F.col("low").alias("b")).distinct())
-    links = first.filter("linked").select("a", "b")
+    links = first.filter("linked").select("a", "b").union(shared_ids)
     comp = materialize(components(links))
     # 3. In buckets that still hold several components, stars around the member that is most like the smallest.
     inside = _mixed(held, comp)
@@ -258,9 +271,14 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         inside = _mixed(inside.select("rep", "bucket", "low"), comp)
     # 4. What is left is compared exactly, tile by tile.
     if not inside.isEmpty():
-        links = links.union(_tiled(inside, docs, id_col, text_col, width, percent, id_type))
+        links = links.union(_tiled(inside, sets_of, percent))
         comp = materialize(components(links))
-    named = classes.select("set_digest", "rep").join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("set_digest", F.coalesce("component", "rep").alias("component_id"))
-    out = all_rows.select("id", "n_shingles", "set_digest").join(materialize(named), "set_digest", "left")
+    named = materialize(classes.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("rep", "id", F.coalesce("component", "rep").alias("component")))
+    smallest = named.groupBy("component").agg(F.min("id").alias("component_id"))
+    down = named.join(smallest, "component").select(F.col("rep").alias("set_digest"), "component_id")
+    # Back to the rows by partition and digest, so that a hot class's rows spread.
+    leaves = materialize(all_rows.filter("set_digest is not null").select("part", "set_digest").distinct().join(down, "set_digest"))
+    found = all_rows.filter("set_digest is not null").join(leaves, ["part", "set_digest"], "left").select("id", "n_shingles", "component_id")
+    out = found.union(all_rows.filter("set_digest is null").select("id", "n_shingles", F.col("id").alias("component_id")))
     component = F.coalesce("component_id", F.col("id"))
     return out.select(F.col("id").alias(id_col), "n_shingles", F.when(F.col("id").isNotNull(), component).alias("component_id"), F.when(F.col("id").isNotNull(), F.col("id") == component).otherwise(True).alias("kept"))

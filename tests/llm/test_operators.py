@@ -700,6 +700,14 @@ def test_near_chain_and_mixed_buckets(spark):
     assert got == brute_components(out, 85)
 
 
+def test_repeated_ids_of_different_texts(spark):
+    a, b = words(200, 71).split(), words(200, 72).split()
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (3, " ".join(a[:-1] + ["x"])), (4, " ".join(b[:-1] + ["x"])), (5, words(200, 73)), (5, None), (6, None), (None, " ".join(a)), (None, None)]
+    for k in (1, 3):
+        got = [tuple(r) for r in near_dedup.near_groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(k, "text"), percent=85).collect()]
+        assert sorted(((i, c, kept) for i, _, c, kept in got), key=str) == sorted([(1, 1, True), (1, 1, True), (3, 1, False), (4, 1, False), (5, 5, True), (5, 5, True), (6, 6, True), (None, None, True), (None, None, True)], key=str)
+
+
 def test_joint_estimate_is_close():
     gen = np.random.default_rng(5)
     mult, add = near_dedup._functions(512, 3)
