@@ -61,29 +61,6 @@ def hash64(data: bytes) -> int:
     return xxhash.xxh3_64_intdigest(data)
 
 
-class WordHashes(dict):
-    """Word (bytes) to 64-bit hash; hashes what is missing. Emptied when it is full, and by tasks when they end."""
-
-    LIMIT = 400_000
-
-    def __missing__(self, word: bytes) -> int:
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        if len(self) > self.LIMIT:
-            self.clear()
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
-WORD_HASHES = WordHashes()
-
-
-def forget_words() -> None:
-    """Frees a worker's word hashes; tasks call it when they end."""
-    WORD_HASHES.clear()
-
-
 #: Odd multipliers, one for each place in a shingle: powers of the golden ratio's 64-bit multiplier.
 _PLACES = np.array([pow(0x9E3779B97F4A7C15, i + 1, 1 << 64) for i in range(64)], np.uint64)
 
@@ -97,16 +74,79 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def shingle_hashes(words: list[bytes], width: int) -> np.ndarray:
-    """64-bit hashes of all runs of `width` words, in order; of the whole sequence if it is shorter."""
-    if not words:
-        return np.empty(0, np.uint64)
-    h = WORD_HASHES.of(words)
-    width = min(width, len(words))
-    total = np.zeros(len(words) - width + 1, np.uint64)
+#: A byte as part of a word: lower-case A-Z only, one odd-looking 64-bit number each.
+_BYTE = mix64(np.arange(256, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1))
+_BYTE[65:91] = _BYTE[97:123]
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_BASE = 0xD1342543DE82EF95
+_INVERSE = pow(_BASE, -1, 1 << 64)
+#: Bytes that are hashed at once; a longer word makes it more.
+_SLICE = 1 << 20
+_powers: list[np.ndarray] = []
+
+
+def _power_tables(n: int) -> list[np.ndarray]:
+    """Powers of the base and of its inverse, n of each at least."""
+    if not _powers or len(_powers[0]) < n:
+        n = max(n, _SLICE + (1 << 16))
+        _powers[:] = [np.cumprod(np.array([1] + [x] * (n - 1), np.uint64), dtype=np.uint64) for x in (_BASE, _INVERSE)]
+    return _powers
+
+
+def hashed_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words of a column of texts, A-Z lower-cased, and where each row's words begin and end (one more than rows).
+
+    A word's hash is a polynomial in its bytes, so that running sums over the column's buffer give all of them without a loop."""
+    texts = texts.cast(pa.large_binary())
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+    if texts.null_count:
+        return hashed_words(texts.fill_null(b""))
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    offsets = offsets - offsets[0]
+    space = _SPACE[data]
+    begins, ends = ~space, ~space
+    begins[1:] &= space[:-1]
+    ends[:-1] &= space[1:]
+    inner = offsets[(offsets > 0) & (offsets < len(data))]  # rows' ends part words too
+    begins[inner] = ~space[inner]
+    ends[inner - 1] = ~space[inner - 1]
+    begins, ends = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+    hashes = np.empty(len(begins), np.uint64)
+    at = 0
+    while at < len(begins):
+        last = max(int(np.searchsorted(ends, begins[at] + _SLICE, "right")), at + 1)
+        lo, hi = begins[at], ends[last - 1]
+        power, inverse = _power_tables(int(hi - lo))
+        sums = np.zeros(hi - lo + 1, np.uint64)
+        np.cumsum(_BYTE[data[lo:hi]] * power[: hi - lo], out=sums[1:])
+        b, e = begins[at:last] - lo, ends[at:last] - lo
+        hashes[at:last] = (sums[e] - sums[b]) * inverse[b] + (e - b).astype(np.uint64)
+        at = last
+    return mix64(hashes), np.searchsorted(begins, offsets, "left")
+
+
+def shingles(texts: pa.Array, width: int, least: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all runs of `width` words of each text, in order, and the rows' bounds in them. A text with fewer words has one, of the whole
+    sequence; one without words, or with fewer than `least`, has none."""
+    h, bounds = hashed_words(texts)
+    n = np.diff(bounds)
+    counts = np.where(n >= max(width, least), n - width + 1, 0)
+    short = np.flatnonzero((n > 0) & (n < width) & (n >= least))
+    counts[short] = 1
+    out_bounds = np.concatenate(([0], np.cumsum(counts)))
+    total = np.zeros(max(len(h) - width + 1, 0), np.uint64)
     for i in range(width):
-        total += h[i : len(words) - width + 1 + i] * _PLACES[i]
-    return mix64(total + np.uint64(width))
+        total += h[i : len(h) - width + 1 + i] * _PLACES[i]
+    total = mix64(total + np.uint64(width))
+    where = np.arange(out_bounds[-1]) + np.repeat(bounds[:-1] - out_bounds[:-1], counts)
+    if not len(short):
+        return total[where], out_bounds
+    out = total[np.minimum(where, max(len(total) - 1, 0))] if len(total) else np.zeros(len(where), np.uint64)
+    for k in short.tolist():
+        words = h[bounds[k] : bounds[k + 1]]
+        out[out_bounds[k]] = mix64(np.array([(words * _PLACES[: len(words)]).sum(dtype=np.uint64) + np.uint64(len(words))], np.uint64))[0]
+    return out, out_bounds
 
 
 def batches(rows: Iterator[tuple], schema: pa.Schema, size: int = 20_000) -> Iterator[pa.RecordBatch]:

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bandsieve.llm._shared import broadcast_if_small, column_bytes, forget_words, materialize, mix64, shingle_hashes, small_batches
+from bandsieve.llm._shared import broadcast_if_small, materialize, mix64, shingles, small_batches
 from bandsieve.llm.components import components
 
 #: Base of the registers' scale; the smaller, the finer.
@@ -44,7 +44,7 @@ BASE = 1.05
 LAST = 2000
 #: Added to all registers, so that no minimum, however large, is cut off at 0.
 OFFSET = 101
-_STEP = 8192
+_STEP = 1 << 16
 #: Members of a bucket that meet in one task, on either side.
 TILE = 256
 
@@ -54,14 +54,21 @@ def _functions(registers: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     return rng.integers(0, 1 << 63, registers, np.uint64) * np.uint64(2) + np.uint64(1), rng.integers(0, 1 << 63, registers, np.uint64)
 
 
-def registers_of(shingles: np.ndarray, mult: np.ndarray, add: np.ndarray) -> np.ndarray:
-    """The sketch of a set of 64-bit hashes: uint16 registers, merged with np.maximum."""
-    low = np.full(len(mult), 0xFFFFFFFF, np.uint32)
-    folded = (mix64(shingles) >> np.uint64(16)).astype(np.uint64)
-    for i in range(0, len(folded), _STEP):
-        part = folded[i : i + _STEP]
-        for k in range(len(mult)):
-            low[k] = min(low[k], ((part * mult[k] + add[k]) >> np.uint64(32)).min())
+def registers_of(sets: list[np.ndarray], mult: np.ndarray, add: np.ndarray) -> np.ndarray:
+    """The sketches of non-empty sets of 64-bit hashes: a row of uint16 registers each, merged with np.maximum."""
+    sizes = np.array([len(x) for x in sets])
+    low = np.full((len(sets), len(mult)), 0xFFFFFFFF, np.uint64)
+    at = 0
+    while at < len(sets):
+        # As many whole sets as fit in a step, one at least; of a large one, part by part.
+        n = max(1, int(np.searchsorted(np.cumsum(sizes[at:]), _STEP, "right")))
+        folded = mix64(np.concatenate(sets[at : at + n])) >> np.uint64(16)
+        starts = np.cumsum(sizes[at : at + n]) - sizes[at : at + n]
+        for i in range(0, len(folded), _STEP) if n == 1 else (0,):
+            part = folded[i : i + _STEP] if n == 1 else folded
+            for k in range(len(mult)):
+                np.minimum(low[at : at + n, k], np.minimum.reduceat((part * mult[k] + add[k]) >> np.uint64(32), starts), out=low[at : at + n, k])
+        at += n
     x = -np.log1p(-(low.astype(np.float64) + 0.5) / 2.0**32)
     return np.clip(np.floor(OFFSET - np.log(x) / math.log(BASE)), 0, LAST).astype(np.uint16)
 
@@ -95,19 +102,22 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, width: int, registers:
 
     def sketch(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            n, digest, rows = [], [], []
-            for data in column_bytes(part, "text"):
-                s = np.unique(shingle_hashes((data or b"").lower().split(), width))
-                n.append(len(s))
-                digest.append(_digest(s))
-                rows.append(registers_of(s, mult, add).astype("<u2").tobytes() if len(s) else None)
+            found = _sets(part.column("text"), width)
+            n, digest = list(map(len, found)), list(map(_digest, found))
+            made = iter(registers_of([s for s in found if len(s)], mult, add).astype("<u2"))
+            rows = [next(made).tobytes() if len(s) else None for s in found]
             yield pa.RecordBatch.from_arrays([part.column("id"), part.column("part"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(rows, pa.binary())], names=["id", "part", "n_shingles", "set_digest", "sketch"])
-        forget_words()
 
     rows = docs.select(F.col(id_col).alias("id"), F.spark_partition_id().alias("part"), F.col(text_col).alias("text"))
     return rows.mapInArrow(sketch, f"id {id_type}, part int, n_shingles long, set_digest binary, sketch binary")
 
 
+def _sets(texts: pa.Array, width: int) -> list[np.ndarray]:
+    """Each text's distinct shingles, sorted."""
+    hashes, bounds = shingles(texts, width)
+    return [np.unique(x) for x in np.split(hashes, bounds[1:-1])]
+
+
 def _digest(s: np.ndarray) -> bytes | None:
     return xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None
 
@@ -119,10 +129,9 @@ def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, wi
 
     def sets(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            found = [np.unique(shingle_hashes((x or b"").lower().split(), width)) for x in column_bytes(part, "text")]
+            found = _sets(part.column("text"), width)
             on = [i for i, (x, d) in enumerate(zip(found, part.column("d").to_pylist())) if _digest(x) == d]
             yield pa.RecordBatch.from_arrays([part.column("d").take(pa.array(on, pa.int64())), pa.array([found[i].tobytes() for i in on], pa.binary())], names=["d", "shingles"])
-        forget_words()
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(broadcast_if_small(wanted), "id")
     return rows.mapInArrow(sets, "d binary, shingles binary").dropDuplicates(["d"])

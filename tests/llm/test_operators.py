@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -154,19 +155,36 @@ def test_warc_empty(spark):
 
 
 def test_windows_equal_brute_force():
-    tokens = np.random.default_rng(1).integers(0, 40, 120).astype(np.uint64)
-    t, salt, bounds = 9, 5, np.array([0, 70, 120])
-    left, centre, right = substrings.compact_windows(tokens, bounds, t, salt)
-    packed = ((substrings.mix64(tokens ^ np.uint64(salt)) & ~substrings._POS) | np.arange(120, dtype=np.uint64)).tolist()
-    owner = {}
-    for a, c, b in zip(left.tolist(), centre.tolist(), right.tolist()):
-        assert b - a + 1 >= t
-        for i in range(a, c + 1):
-            for j in range(max(c, i + t - 1), b + 1):
-                assert (i, j) not in owner  # each run is in one window only
-                owner[i, j] = c
-    runs = {(i, j): min(range(i, j + 1), key=packed.__getitem__) for lo, hi in ((0, 70), (70, 120)) for i in range(lo, hi) for j in range(i + t - 1, hi)}
-    assert owner == runs
+    tokens, bounds, t, bands = np.random.default_rng(1).integers(0, 40, 120).astype(np.uint64), np.array([0, 70, 120]), 9, 2
+    want = set()
+    for band in range(bands):
+        packed_ = [((substrings.mix64(tokens ^ np.uint64(0x5851F42D4C957F2D * (2 * band + k + 1) % (1 << 63))) & ~substrings._POS) | np.arange(120, dtype=np.uint64)).tolist() for k in (0, 1)]
+        for i in [*range(0, 70 - t + 1), *range(70, 120 - t + 1)]:
+            want.add((band, *(min(range(i, i + t), key=p.__getitem__) for p in packed_)))
+    key, centre = substrings.signatures(tokens, bounds, t, bands)
+    key_of = lambda band, a, b: int(substrings.mix64((tokens[a : a + 1] << np.uint64(32) | tokens[b : b + 1]) ^ np.uint64(band * 0x9E3779B97F4A7C15 % (1 << 64)))[0])
+    assert sorted(zip(key.tolist(), centre.tolist())) == sorted((key_of(*x), x[1]) for x in want)
+
+
+def test_hashed_words_and_shingles(monkeypatch):
+    texts = ["One two", None, "", " \x0b\t", "a\u2003b c", "\x1ctwo one\ntwo", "x" * 300 + " TWO one two " + "y" * 90, "One two"]
+    words_ = [re.findall(rb"[^\x20\x09-\x0D]+", (x or "").encode().lower()) for x in texts]
+    shared = __import__("bandsieve.llm._shared", fromlist=["_"])
+    seen = {}
+    for size in (1 << 20, 16):
+        monkeypatch.setattr(shared, "_SLICE", size)
+        for column in (pa.array(texts), pa.array(["zz", *texts, "q"]).slice(1, len(texts))):
+            h, bounds = shared.hashed_words(column)
+            assert np.diff(bounds).tolist() == list(map(len, words_))
+            for x, y in zip((w for ws in words_ for w in ws), h.tolist()):
+                assert seen.setdefault(x, y) == y
+            s, at = shared.shingles(column, 3)
+            keys = [[tuple(ws[i : i + 3]) for i in range(max(len(ws) - 2, min(len(ws), 1)))] for ws in words_]
+            assert np.diff(at).tolist() == list(map(len, keys))
+            for x, y in zip((k for ks in keys for k in ks), s.tolist()):
+                assert seen.setdefault(x, y) == y
+    assert len(set(seen.values())) == len(seen)
+    assert shared.shingles(pa.array([], pa.string()), 5)[1].tolist() == [0]
 
 
 def test_packed_columns():
@@ -201,7 +219,7 @@ def test_passages_under_names(spark):
 
 
 def tokens_of(text):
-    return substrings._tokens(text.encode(), 5)
+    return substrings._tokens(pa.array([text]), 5)[0]
 
 
 def edited(words_, n, kind, rng):
@@ -714,8 +732,9 @@ def test_joint_estimate_is_close():
     for share in (0.3, 0.6, 0.9):
         both = gen.integers(0, 1 << 63, int(2000 * share), np.uint64)
         a, b = (np.concatenate((both, gen.integers(0, 1 << 63, 2000 - len(both), np.uint64))) for _ in range(2))
-        x, y = near_dedup.registers_of(a, mult, add).astype(int), near_dedup.registers_of(b, mult, add).astype(int)
-        assert (near_dedup.registers_of(np.concatenate((a, b)), mult, add) == np.maximum(x, y)).all()
+        x, y = near_dedup.registers_of([a, b], mult, add).astype(int)
+        assert (near_dedup.registers_of([np.concatenate((a, b)), a], mult, add) == [np.maximum(x, y), x]).all()
+        assert (near_dedup.registers_of([np.tile(a, 80), b], mult, add) == [x, y]).all()
         est, high = near_dedup.joint_estimate(*[np.array([v]) for v in ((x == y).sum(), (x > y).sum(), (x < y).sum(), 2000, 2000)], 6.0)
         true = len(both) / (4000 - len(both))
         assert abs(est[0] - true) < 0.08 and high[0] >= true
