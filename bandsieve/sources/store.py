@@ -8,16 +8,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bandsieve.schema import EVAL, RESULTS, RUNS, VIDEOS
+from bandsieve.session import shared_base
 
 
 def scratch_path(spark: SparkSession) -> str:
     """A new folder under the one that the driver and all executors share."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        import tempfile
-
-        base = f"{tempfile.gettempdir()}/bandsieve-scratch"
-    return f"{base.rstrip('/')}/bandsieve-{uuid.uuid4().hex}"
+    return f"{shared_base(spark)}/bandsieve-{uuid.uuid4().hex}"
 
 
 def exists(spark: SparkSession, path: str) -> bool:
