@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +12,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bandsieve.session import remove_folder, shared_base
+
 #: A word, as every operator here reads it.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows in one Arrow batch; texts may be long, so batches are small.
@@ -28,16 +31,17 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
+#: Folders that operators now at work have made; the innermost operator last.
+_made: list[list[str]] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A new folder's path under the folder that the driver and all executors share."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        import tempfile
-
-        base = f"file://{tempfile.gettempdir()}/bandsieve-scratch"
-    if "://" not in base and not base.startswith("file:"):
-        base = f"file://{base}"
-    return f"{base.rstrip('/')}/bandsieve-{uuid.uuid4().hex}"
+    base = shared_base(spark)
+    path = f"{base if '://' in base or base.startswith('file:') else f'file://{base}'}/bandsieve-{uuid.uuid4().hex}"
+    if _made:
+        _made[-1].append(path)
+    return path
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -47,6 +51,28 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def tidy(make: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Writes an operator's result to the shared folder and removes all other folders that it made there."""
+
+    @functools.wraps(make)
+    def made(*args, **options) -> DataFrame:  # noqa: ANN002, ANN003
+        _made.append([])
+        out = None
+        try:
+            out = materialize(make(*args, **options))
+            return out
+        finally:
+            paths = _made.pop()
+            kept = paths.pop() if out is not None else None
+            spark = SparkSession.getActiveSession()
+            for path in paths:
+                remove_folder(spark, path)
+            if kept and _made:
+                _made[-1].append(kept)
+
+    return made
+
+
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcasts a materialized table if a count proves it small; else leaves the join to shuffle."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bandsieve.llm._shared import column_bytes, materialize, small_batches
+from bandsieve.llm._shared import column_bytes, materialize, small_batches, tidy
 
 
 def digests(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -87,6 +87,7 @@ def merge_runs(runs: DataFrame, fan: int, partitions: int, keep: str) -> DataFra
     return exchanged.mapInArrow(_merge(keep), f"cell int, digest binary, check2 long, n_bytes long, best {id_type}, n long")
 
 
+@tidy
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest", fan: int = 16) -> DataFrame:
     """Columns: the id, keep_id, group_size, kept, digest (binary SHA-256 of the normalised text). One row per row of docs."""
     spark = docs.sparkSession

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bandsieve.llm._shared import WORD, broadcast_if_small, materialize
+from bandsieve.llm._shared import WORD, broadcast_if_small, materialize, tidy
 
 HASH_BITS = 60
 BITS = 10
@@ -86,6 +86,7 @@ def boundaries(sizes: DataFrame, budgets: DataFrame) -> DataFrame:
     return state.select("key", "threshold")
 
 
+@tidy
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = (5, 2, 1), max_repeats: int = 3, seed: int = 20) -> DataFrame:
     """Columns: the id, size, source_size, target (the source's), repeats (times the document is taken), taken (words)."""
     source = F.col(source_col).cast("string")

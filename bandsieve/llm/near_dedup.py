@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bandsieve.llm._shared import broadcast_if_small, materialize, mix64, shingles, small_batches
+from bandsieve.llm._shared import broadcast_if_small, materialize, mix64, shingles, small_batches, tidy
 from bandsieve.llm.components import components
 
 #: Base of the registers' scale; the smaller, the finer.
@@ -242,6 +242,7 @@ def _mixed(held: DataFrame, comp: DataFrame) -> DataFrame:
     return materialize(rows.join(broadcast_if_small(materialize(main.select("bucket", "main"))), "bucket").select("rep", "bucket", "low", "component", "main"))
 
 
+@tidy
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, bands: int = 16, rows: int = 4, seed: int = 9) -> DataFrame:
     """Columns: the id, n_shingles, component_id, kept (the id is its component's smallest).
 

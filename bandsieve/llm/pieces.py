@@ -67,10 +67,8 @@ class PieceModel:
         self.lp_of = np.full(n, self.byte_lp)
         for i, value in self.lp.values():
             self.lp_of[i] = value
-        self.byte_lp = float(-np.log(len(normal) + 2.0) - total)
-        self.lp_of = np.full(n, self.byte_lp)
-        for i, value in self.lp.values():
-            self.lp_of[i] = value
+        if odd := next((p for p in self.lp if " " in p.lstrip(" ") or "\n" in p and p != "\n"), None):
+            raise ValueError(f"texts are cut into units at spaces and line feeds, but the model has the piece {odd!r}")
         self.prefixes = {p[:k] for p in self.lp for k in range(1, len(p) + 1)}
         self._trie()
         # Where no piece joins a Latin letter with anything but another one, units are cut there too.

@@ -121,11 +121,10 @@ def order_rules(rules: tuple[Rule, ...], texts: list[bytes | None]) -> list[Rule
     return out
 
 
-def sample_texts(docs: DataFrame, text_col: str, rows: int, seed: int = 7) -> list[bytes | None]:
-    """At most `rows` texts for the fit: a random share of each partition, read until there are enough."""
-    fraction = min(1.0, max(0.01, 2 * rows / max(1, docs.count())))
-    got = docs.select(F.col(text_col).alias("t")).sample(False, fraction, seed).limit(rows).collect()
-    return [None if r[0] is None else r[0].encode() for r in got]
+def sample_texts(docs: DataFrame, text_col: str, rows: int) -> list[bytes | None]:
+    """At most `rows` texts for the fit, those with the smallest hashes: the same whatever the order of files and rows."""
+    got = docs.select(F.xxhash64(F.col(text_col)).alias("_h"), F.col(text_col).alias("_t")).orderBy("_h", "_t").limit(rows).collect()
+    return [None if r["_t"] is None else r["_t"].encode() for r in got]
 
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")

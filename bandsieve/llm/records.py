@@ -28,7 +28,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from bandsieve.llm._shared import broadcast_if_small, column_bytes, materialize, shared_dir, small_batches
+from bandsieve.llm._shared import broadcast_if_small, column_bytes, materialize, shared_dir, small_batches, tidy
 
 #: Fixed values of the record format.
 MASK_DELTA = 0xA282EAD8
@@ -408,9 +408,10 @@ def read_token_records(manifest: DataFrame, folder: str) -> DataFrame:
                         lo = hi
 
     files = manifest.select("file", "name", "base")
-    return files.repartition(max(1, manifest.count()), "file").mapInArrow(load, "file int, doc_id long, start long, n_tokens long, ids_crc32 long, ids binary")
+    return files.repartitionByRange(max(1, manifest.count()), "file").mapInArrow(load, "file int, doc_id long, start long, n_tokens long, ids_crc32 long, ids binary")
 
 
+@tidy
 def token_record_rows(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0) -> DataFrame:
     """Writes docs to the shared folder and returns what the files hold, without the ids themselves."""
     folder = shared_dir(docs.sparkSession)
@@ -419,13 +420,14 @@ def token_record_rows(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", t
 
 
 def shuffled_reads(manifest: DataFrame, folder: str, seed: int, n: int) -> list[bytes]:
-    """The first n payloads' ids in a shuffled order of all records, each fetched by its index entry: for random access by a loader."""
-    total = manifest.orderBy("file").select("name", "n_docs").toLocalIterator()
+    """n records' ids, drawn from all without replacement, each fetched by its index entry: for random access by a loader.
+
+    The driver holds a row for each file and the n draws, nothing for each document."""
     fs, path = pafs.FileSystem.from_uri(folder)
-    out, rng = [], np.random.default_rng(seed)
-    files = list(total)
+    out, files = [], manifest.orderBy("file").select("name", "n_docs").collect()
     bounds = np.cumsum([f["n_docs"] for f in files])
-    for k in rng.permutation(int(bounds[-1]) if len(bounds) else 0)[:n]:
+    total = int(bounds[-1]) if len(bounds) else 0
+    for k in np.random.default_rng(seed).choice(total, min(n, total), replace=False) if total else []:
         i = int(np.searchsorted(bounds, k, "right"))
         own = int(k - (bounds[i] - files[i]["n_docs"]))
         with fs.open_input_file(f"{path}/{files[i]['name']}.idx") as f:

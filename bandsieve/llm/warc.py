@@ -30,7 +30,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bandsieve.llm._shared import column_bytes, materialize, shared_dir, small_batches
+from bandsieve.llm._shared import column_bytes, materialize, shared_dir, small_batches, tidy
 
 #: Groups of equal payloads are dealt over so many keys.
 SALTS = 64
@@ -259,7 +259,8 @@ def read_warc(files: DataFrame, folder: str, split_bytes: int = 32 << 20) -> Dat
                     yield flush(rows)
 
     out = "name string, offset long, record_type string, record_id string, refers_to string, url string, payload_digest string, payload_bytes long, payload binary"
-    return ranges.repartition(int(n), "name", "lo").mapInArrow(load, out)
+    # By ranges, so that each task gets one split; by hashes some would get several and others none.
+    return ranges.repartitionByRange(int(n), "name", "lo").mapInArrow(load, out)
 
 
 def id_column(column: str) -> Column:
@@ -270,6 +271,7 @@ def id_column(column: str) -> Column:
     return F.when(~null, F.conv(bits, 16, -10).cast("long"))
 
 
+@tidy
 def archive_rows(pages: DataFrame, min_revisit_bytes: int = 0, split_bytes: int = 32 << 20) -> DataFrame:
     """Archives pages in the shared folder and returns what reading them back gives, by page."""
     folder = shared_dir(pages.sparkSession)
