@@ -319,6 +319,7 @@ def test_stars_of_hot_signatures():
 @pytest.mark.parametrize("small", [0, 4096])
 def test_groups_equal_pairs(small, monkeypatch):
     monkeypatch.setattr(substrings, "SMALL", small or 50)
+    monkeypatch.setattr(substrings, "_FEW", small or 50)
     rng = np.random.default_rng(3)
     u = [(i, [5, 90], rng.integers(0, 60, 30).astype(np.uint32), 15, True) for i in range(6)]
     m = u + [(i % 9, [0], np.where(rng.random(30) < 0.1, 99, u[i % 6][2]).astype(np.uint32), 15, False) for i in range(20)]
