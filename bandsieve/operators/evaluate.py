@@ -49,3 +49,8 @@ def bootstrap(videos: DataFrame, n: int, seed: int = 0) -> DataFrame:
     from bandsieve.operators.cascade import sample_paths
 
     return sample_paths(videos.select("path"), n, seed).select(F.col("path").alias("video"), F.array().cast("array<string>").alias("reasons"), F.lit(None).cast("string").alias("_vlm"))
+
+
+def compare_wide(history: DataFrame, stage: str, categories: list[str]) -> DataFrame:
+    """version and the f1 of each category in a column of its own, null where a version has none. Naming the categories saves a pass over the history."""
+    return compare(history, stage).groupBy("version").pivot("category", categories).agg(F.first("f1"))

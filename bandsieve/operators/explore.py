@@ -1,7 +1,10 @@
 """Nearest neighbours, near-duplicates, outliers and clusters of embedding vectors.
 
-Exact search: vectors are packed into blocks of a fixed number of rows; each pair of blocks is one matrix product
-in a Python worker, which sends on only the best `k` of each row. Blocks, never single rows, are paired."""
+Two searches. The exact one packs vectors into blocks of a fixed number of rows and makes one matrix product of each unordered pair of blocks, of which
+a Python worker sends on only the best `k` of each row: right at every size, but its work grows with the square of the vectors. The other one
+orders vectors by the signs of random projections, once for each of several tables, and compares only vectors that are near in one of these orders, in
+runs of a fixed number of rows: its work grows with the vectors. Ranges of an order have equal sizes whatever the vectors, so many equal ones don't meet in
+one task. What it returns are exact similarities; the tests measure how many true neighbours it finds."""
 
 from __future__ import annotations
 
@@ -39,25 +42,104 @@ def blocks(vectors: DataFrame, id_col: str, vec_col: str, block: int = BLOCK) ->
     return checkpointed(dealt.mapInArrow(pack, "block long, ids binary, rows binary"))
 
 
-def neighbours(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 10) -> DataFrame:
-    """id, rank (1 is nearest), neighbour, sim: the k nearest other vectors by cosine; ties go to the smaller id."""
+def _best(a_ids: np.ndarray, a: np.ndarray, b_ids: np.ndarray, b: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """id, neighbour and similarity of the k best rows of b for each of a, other than itself."""
+    sim = a @ b.T
+    sim[a_ids[:, None] == b_ids[None, :]] = -np.inf
+    top = np.argsort(-sim, axis=1, kind="stable")[:, :k]
+    s = np.take_along_axis(sim, top, 1).ravel()
+    ok = np.isfinite(s)
+    return np.repeat(a_ids, top.shape[1])[ok], b_ids[top].ravel()[ok], s[ok]
+
+
+def _found(*parts: tuple[np.ndarray, np.ndarray, np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts)], names=["id", "neighbour", "sim"])
+
+
+_FOUND = "id long, neighbour long, sim double"
+
+
+def _exact(vectors: DataFrame, id_col: str, vec_col: str, k: int) -> DataFrame:
     packed = blocks(vectors, id_col, vec_col)
-    pairs = packed.crossJoin(packed.select(F.col("block").alias("b_block"), F.col("ids").alias("b_ids"), F.col("rows").alias("b_rows")))
-    pairs = pairs.repartition("block", "b_block")
+    numbers = packed.select(F.collect_list("block").alias("all"))  # one number a block of 2,048 vectors
+    pairs = packed.join(F.broadcast(numbers)).select("block", "ids", "rows", F.explode(F.filter("all", lambda x: x >= F.col("block"))).alias("b_block"))
+    pairs = pairs.join(packed.select(F.col("block").alias("b_block"), F.col("ids").alias("b_ids"), F.col("rows").alias("b_rows")), "b_block").repartition("block", "b_block")
 
     def best(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in given:
             for r in part.to_pylist():
                 a_ids, b_ids = np.frombuffer(r["ids"], "<i8"), np.frombuffer(r["b_ids"], "<i8")
                 a, b = np.frombuffer(r["rows"]).reshape(len(a_ids), -1), np.frombuffer(r["b_rows"]).reshape(len(b_ids), -1)
-                sim = a @ b.T
-                sim[a_ids[:, None] == b_ids[None, :]] = -np.inf
-                top = np.argsort(-sim, axis=1, kind="stable")[:, :k]
-                s = np.take_along_axis(sim, top, 1)
-                ok = np.isfinite(s)
-                yield pa.RecordBatch.from_pydict({"id": pa.array(np.repeat(a_ids, top.shape[1])[ok.ravel()]), "neighbour": pa.array(b_ids[top].ravel()[ok.ravel()]), "sim": pa.array(s.ravel()[ok.ravel()])})
-
-    found = pairs.mapInArrow(best, "id long, neighbour long, sim double")
+                both = [_best(a_ids, a, b_ids, b, k)]
+                if r["block"] != r["b_block"]:
+                    both.append(_best(b_ids, b, a_ids, a, k))
+                yield _found(*both)
+
+    return pairs.mapInArrow(best, _FOUND)
+
+
+def _near_in_orders(vectors: DataFrame, id_col: str, vec_col: str, k: int, tables: int, run: int, seed: int) -> DataFrame:
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v")).filter("id is not null and v is not null")
+
+    def signs(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights = (1 << np.arange(61, -1, -1, dtype=np.int64))
+        planes: np.ndarray | None = None
+        for part in given:
+            if not part.num_rows:
+                continue
+            m = np.array(part.column("v").to_pylist(), np.float64)
+            if planes is None:
+                planes = np.random.default_rng(seed).standard_normal((tables, m.shape[1], 62))
+            m /= np.linalg.norm(m, axis=1, keepdims=True) + _EPS
+            for t in range(tables):
+                code = ((m @ planes[t]) > 0) @ weights
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(m), t, np.int32)), pa.array(code), part.column("id"), pa.array([x.tobytes() for x in m], pa.binary())], names=["t", "code", "id", "v"])
+
+    def compare(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each run with itself and the one before; runs don't cross tables."""
+        before: tuple | None = None
+        held: list[pa.RecordBatch] = []
+
+        def runs(last: bool) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+            table = pa.Table.from_batches(held).combine_chunks()
+            t = table.column("t").to_numpy()
+            at = 0
+            while at < len(t):
+                end = min(at + run, int(np.searchsorted(t, t[at], "right")))
+                if end == len(t) and not last:
+                    break
+                yield int(t[at]), table.column("id").to_numpy()[at:end], np.frombuffer(b"".join(table.column("v")[at:end].to_pylist())).reshape(end - at, -1)
+                at = end
+            held[:] = table.slice(at).to_batches()
+
+        def work(last: bool) -> Iterator[pa.RecordBatch]:
+            nonlocal before
+            for t, ids, m in runs(last):
+                both = [_best(ids, m, ids, m, k)]
+                if before and before[0] == t:
+                    both += [_best(ids, m, *before[1:], k), _best(*before[1:], ids, m, k)]
+                before = (t, ids, m)
+                yield _found(*both)
+
+        for part in given:
+            if part.num_rows:
+                held.append(part)
+                if sum(x.num_rows for x in held) > 2 * run:
+                    yield from work(False)
+        if held:
+            yield from work(True)
+
+    coded = checkpointed(rows.mapInArrow(signs, "t int, code long, id long, v binary"))
+    parts = max(1, coded.count() // (16 * run))
+    dealt = coded.repartitionByRange(parts, "t", "code", "id").sortWithinPartitions("t", "code", "id")
+    return dealt.mapInArrow(compare, _FOUND).distinct()
+
+
+def neighbours(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 10, exact: bool = True, tables: int = 8, run: int = 1024, seed: int = 3) -> DataFrame:
+    """id, rank (1 is nearest), neighbour, sim: the k nearest other vectors by cosine; ties go to the smaller id.
+
+    exact=False compares in `tables` orders, each vector with at least those in its own run of `run` rows. Rows without an id or a vector are left out."""
+    found = _exact(vectors, id_col, vec_col, k) if exact else _near_in_orders(vectors, id_col, vec_col, k, tables, run, seed)
     order = Window.partitionBy("id").orderBy(F.desc("sim"), "neighbour")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("id", "rank", "neighbour", "sim")
 
@@ -96,11 +178,13 @@ def components(edges: DataFrame) -> DataFrame:
             return labels.select("id", F.col("c").alias("component"))
 
 
-def clusters(edges: DataFrame, examples: int = 6) -> DataFrame:
-    """component, size and its first members, of clusters with more than one."""
-    members = components(edges)
-    rank = F.row_number().over(Window.partitionBy("component").orderBy("id"))
-    return members.withColumn("r", rank).groupBy("component").agg(F.count(F.lit(1)).alias("size"), F.array_sort(F.collect_list(F.when(F.col("r") <= examples, F.col("id")))).alias("examples")).filter("size > 1")
+def clusters(edges: DataFrame, examples: int = 6, salts: int = 64) -> DataFrame:
+    """component, size and its first members, of clusters with more than one. Members are ranked in salted parts first, so that a large cluster spreads."""
+    members = components(edges).withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)))
+    sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    first = members.withColumn("r", F.row_number().over(Window.partitionBy("component", "salt").orderBy("id"))).filter(F.col("r") <= examples)
+    few = first.groupBy("component").agg(F.slice(F.array_sort(F.collect_list("id")), 1, examples).alias("examples"))
+    return few.join(sizes, "component").select("component", "size", "examples")
 
 
 def findings(vectors: DataFrame, threshold: float = 0.95, top: int = 20, **cols: str) -> dict[str, Any]:

@@ -73,13 +73,55 @@ def hits(results: DataFrame) -> DataFrame:
     return rows.select("path", F.col("stage").alias("tier"), F.explode(F.slice(F.coalesce("verdict.hits", F.array().cast("array<struct<reason:string,t:double,conf:double>>")), 1, 30)).alias("h")).select("path", "tier", "h.reason", "h.t")
 
 
-def episode(results: DataFrame, path: str, snapshot: bool = False) -> dict[str, Any]:
-    """One clip's tiers with decisions, in order of rungs, and its hits by time."""
+def first_hits(results: DataFrame) -> DataFrame:
+    """path, reason, t: each reason's earliest hit over the tiers of the active versions."""
+    return hits(results).groupBy("path", "reason").agg(F.min("t").alias("t"))
+
+
+def rubric_rows(results: DataFrame, items: DataFrame) -> DataFrame:
+    """path, ord, id, label, passed, first_t: every rubric item of every judged clip, whether the judge passed it (null: it doesn't say)
+    and the time of the first hit with the item's id as its reason. A rubric is a file of a few items, broadcast as one row."""
+    said = F.filter("verdict.rubric", lambda x: x["id"] == F.col("item.id"))
+    judge = versions.active(results).filter("stage = 'vlm'").select("path", "verdict")
+    every = items.agg(F.array_sort(F.collect_list(F.struct("ord", "id", "label"))).alias("items"))
+    rows = judge.join(F.broadcast(every)).select("path", "verdict", F.explode("items").alias("item"))
+    rows = rows.select("path", "item.ord", "item.id", "item.label", F.get(F.transform(said, lambda x: x["pass"]), F.lit(0)).alias("passed"))
+    return rows.join(first_hits(results).select("path", F.col("reason").alias("id"), F.col("t").alias("first_t")), ["path", "id"], "left").select("path", "ord", "id", "label", "passed", "first_t")
+
+
+def snapshot_state(results: DataFrame) -> DataFrame:
+    """One row, is_snapshot: cheap_cv has rows, but none of cheap_cv, geometry and objects has any of its active version."""
+    own = F.lit(False)
+    for s in ("cheap_cv", "geometry", "objects"):
+        own = own | (F.col("stage") == s) & (F.col("version") == ACTIVE_VERSIONS[s])
+    return results.agg((F.count_if(own) == 0).alias("a"), (F.count_if(F.col("stage") == "cheap_cv") > 0).alias("b")).select((F.col("a") & F.col("b")).alias("is_snapshot"))
+
+
+def episode(results: DataFrame, path: str, snapshot: bool | None = None, items: DataFrame | None = None) -> dict[str, Any]:
+    """One clip in full: its tiers with decisions, in order of rungs, its hits by time, the judge's row, the rubric with first hits, and which tiers
+    and versions it has. snapshot None: found out by snapshot_state. A clip without rows has empty lists and verdict PASS."""
+    if snapshot is None:
+        snapshot = bool(snapshot_state(results).first()["is_snapshot"])
     own = results.filter(F.col("path") == path)
     rows = versions.latest_per_clip(own) if snapshot else versions.active(own)
     tiers = rows.filter(F.col("stage").isin(*STAGES)).withColumn("ord", cascade.rung()).withColumn("decided", F.when(F.col("stage") != "vlm", F.coalesce("verdict.decision", B.decide()))).orderBy("ord").collect()
     found = sorted((dict(tier=r["stage"], reason=h["reason"], t=h["t"]) for r in tiers for h in (r["verdict"]["hits"] or [])), key=lambda h: h["t"])
-    return {"path": path, "rungs": [{"level": LEVELS[r["stage"]], "stage": r["stage"], "decision": r["decided"], "verdict": r["verdict"].asDict(True)} for r in tiers], "hits": found}
+    judge = next((r["verdict"].asDict(True) for r in tiers if r["stage"] == "vlm"), None)
+    final = own.filter("stage = 'verdict'").orderBy(F.desc("ran_at")).select("verdict.verdict").first()
+    said = {x["id"]: x["pass"] for x in (judge or {}).get("rubric") or []}
+    first: dict[str, float] = {}
+    for h in found:
+        first.setdefault(h["reason"], h["t"])
+    rubric = [x.asDict() | {"passed": said.get(x["id"]), "first_t": first.get(x["id"])} for x in items.orderBy("ord").collect()] if items is not None else []
+    return {
+        "path": path,
+        "verdict": (final["verdict"] if final else None) or "PASS",
+        "rungs": [{"level": LEVELS[r["stage"]], "stage": r["stage"], "decision": r["decided"], "verdict": r["verdict"].asDict(True)} for r in tiers],
+        "hits": found,
+        "judge": judge,
+        "rubric": rubric,
+        "integrity": {"tiers_run": [r["stage"] for r in tiers], "versions": {r["stage"]: r["version"] for r in tiers}},
+    }
 
 
 def top_reasons(results: DataFrame, n: int = 8) -> DataFrame:

@@ -6,7 +6,7 @@ import json
 import re
 import time
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -32,6 +32,8 @@ class Stage:
     workers: int = 4
     trigger: str = ""
     level: str = field(default="")
+    #: The clips (path) that the stage may look at, from the results; None: those that the cascade's own gate for its name passes on.
+    gate: Callable[[DataFrame], DataFrame] | None = None
 
     def rung(self) -> str:
         return self.level or LEVELS.get(self.name, "Lx")
@@ -61,6 +63,7 @@ def score_batch(stage: Stage, paths: list[str]) -> dict[str, Verdict]:
 
 def run_stage(todo: DataFrame, stage: Stage, now: float) -> DataFrame:
     """results rows of the paths in todo. Detectors run in Python workers; a failing clip never fails its task."""
+    stage = replace(stage, gate=None)  # workers have no use for it, and it may hold tables
 
     def work(parts: Iterator[Any]) -> Iterator[Any]:
         import pandas as pd
@@ -82,7 +85,8 @@ def run_stages(store: Store, stages: list[Stage], limit: int | None = None, retr
     for stage in stages:
         started, results = clock(), store.results()
         counted = results.filter("verdict.err is null") if retry_errors else results
-        todo = cascade.undone(store.videos(), counted, stage.name, stage.version, cascade.gate(results, stage.name))
+        allowed = stage.gate(results) if stage.gate else cascade.gate(results, stage.name)
+        todo = cascade.undone(store.videos(), counted, stage.name, stage.version, allowed)
         if limit is not None:
             todo = todo.orderBy("path").limit(limit)
         rows = checkpointed(run_stage(todo, stage, started))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import xml.etree.ElementTree as ET
 from collections.abc import Mapping
 from pathlib import PurePosixPath
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from bandsieve.functions.bands import DEFAULT_BANDS, overlay
 from bandsieve.schema import GOLD, RUBRIC
+from bandsieve.sources.store import exists
 
 
 def read_text(spark: SparkSession, path: str) -> str | None:
@@ -134,5 +136,47 @@ def missing_objects(listed: DataFrame, local: DataFrame) -> DataFrame:
     return listed.join(local.filter("size > 0").select("key"), "key", "left_anti")
 
 
+def download(spark: SparkSession, fetch, listed: DataFrame, local: DataFrame, folder: str) -> tuple[int, int]:  # noqa: ANN001
+    """Fetches what is missing or empty here into a folder that executors can write to; gives the numbers fetched and still missing.
+
+    fetch(key) gives an object's bytes; it runs in tasks, and an object that fails stays missing for the next call."""
+
+    def get(parts):  # noqa: ANN001, ANN202
+        import pandas as pd
+        from pyarrow import fs
+
+        where, root = fs.FileSystem.from_uri(folder)
+        for part in parts:
+            sizes = []
+            for key in part["key"]:
+                try:
+                    data = fetch(key)
+                    where.create_dir(f"{root}/{key}".rpartition("/")[0], recursive=True)
+                    with where.open_output_stream(f"{root}/{key}") as f:
+                        f.write(data)
+                    sizes.append(len(data))
+                except Exception:  # noqa: BLE001
+                    sizes.append(0)
+            yield pd.DataFrame({"key": part["key"], "size": sizes})
+
+    todo = missing_objects(listed, local).select("key")
+    got = todo.repartition("key").mapInPandas(get, "key string, size long").agg(F.count_if(F.col("size") > 0).alias("got"), F.count_if(F.col("size") == 0).alias("left")).first()
+    return int(got["got"]), int(got["left"])
+
+
+def local_objects(spark: SparkSession, folder: str) -> DataFrame:
+    """key (below the folder) and size of the files that are here; none where the folder isn't there yet."""
+    if not exists(spark, folder):
+        return spark.createDataFrame([], "key string, size long")
+    rows = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).select("path", "length")
+    root = folder.partition("://")[2] if "://" in folder else folder
+    return rows.select(F.regexp_replace("path", "^.*" + re.escape(root.rstrip("/")) + "/", "").alias("key"), F.col("length").alias("size"))
+
+
+def file_digests(spark: SparkSession, path: str) -> DataFrame:
+    """path and sha256 (lowercase hex) of the files under a path."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", F.sha2("content", 256).alias("sha256"))
+
+
 def stem(path: str) -> str:
     return PurePosixPath(path).stem
