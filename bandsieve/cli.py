@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 import importlib
 import json
+import sys
 import time
 from dataclasses import replace
 
@@ -139,7 +140,9 @@ def run(args: list[str], spark=None) -> str:  # noqa: ANN001
     return emit(reports.snapshot(store.videos(), store.results(), verdicts, bands), a.out)
 
 
-if __name__ == "__main__":
-    import sys
-
+def main() -> None:
     print(run(sys.argv[1:]))
+
+
+if __name__ == "__main__":
+    main()

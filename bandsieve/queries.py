@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bandsieve.functions import bands as B
+from bandsieve.functions import text as T
 from bandsieve.functions.stats import round_to
 from bandsieve.operators import cascade, evaluate, explore, frames, reports, versions
 from bandsieve.plans import corpora as C
@@ -328,7 +329,7 @@ def hist48(spark: SparkSession, d: str) -> DataFrame:
     return reports.signal_histograms(C.results_u(spark, d))
 
 
-_H40 = _hist_sql(40) + ", " + _JUDGE.replace(_LROWS, _LROWS) + ", h40 AS (SELECT signal, bin, count(have.path) AS n, count(*) FILTER (label = 'bad') AS judge_bad, count(*) FILTER (label = 'good') AS judge_good FROM every LEFT JOIN have USING (signal, bin) LEFT JOIN judge ON judge.path = have.path GROUP BY ALL)"
+_H40 = _hist_sql(40) + ", " + _JUDGE + ", h40 AS (SELECT signal, bin, count(have.path) AS n, count(*) FILTER (label = 'bad') AS judge_bad, count(*) FILTER (label = 'good') AS judge_good FROM every LEFT JOIN have USING (signal, bin) LEFT JOIN judge ON judge.path = have.path GROUP BY ALL)"
 
 
 @query(_H40 + " SELECT signal, bin, n, judge_bad, judge_good FROM h40")
@@ -523,3 +524,50 @@ def rate_eta(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL", prefix=False)
 def throughput_windows(spark: SparkSession, d: str) -> DataFrame:
     return throughput(C.table(spark, d, "events")).withColumn("total", F.round("total", 4))
+
+
+# Clip details, timelines and numbers as text.
+_HIT_ROWS = f"hit_rows AS (SELECT path, h.reason AS reason, 0.0::DOUBLE AS t FROM (SELECT path, user_id, unnest([{_HITS}]) AS h FROM s) WHERE h.d <> 'good' AND NOT (h.tier = 'semantic' AND user_id % 97 = 0))"
+_ITEMS = ((0, "missing_hands", "Hands in view"), (1, "phone", "No phone"), (2, "looking_away", "Eyes on the work"), (3, "light", "Enough light"))
+
+
+@query(_HIT_ROWS + " SELECT path, reason, min(t) AS t FROM hit_rows GROUP BY path, reason")
+def first_hits(spark: SparkSession, d: str) -> DataFrame:
+    return reports.first_hits(C.results_u(spark, d))
+
+
+@query(
+    _HIT_ROWS
+    + f", items(ord, id, label) AS (VALUES {', '.join(str(x) for x in _ITEMS)}) SELECT r.path, i.ord, i.id, i.label, CAST(NULL AS BOOLEAN) AS passed, (SELECT min(t) FROM hit_rows h WHERE h.path = r.path AND h.reason = i.id) AS first_t FROM results r, items i WHERE r.stage = 'vlm' AND r.version = 'cap'"
+)
+def rubric_first_hit(spark: SparkSession, d: str) -> DataFrame:
+    return reports.rubric_rows(C.results_u(spark, d), spark.createDataFrame(_ITEMS, "ord int, id string, label string"))
+
+
+@query("SELECT count(*) FILTER (stage IN ('cheap_cv', 'geometry', 'objects') AND version = 'c1') = 0 AND count(*) FILTER (stage = 'cheap_cv') > 0 AS is_snapshot FROM results")
+def snapshot_detected(spark: SparkSession, d: str) -> DataFrame:
+    return reports.snapshot_state(C.results_u(spark, d))
+
+
+@query(
+    "SELECT l_orderkey, l_linenumber, a AS seg_start, greatest(b, a) AS seg_end, 100.0::DOUBLE * a / 40 AS from_pct, 100.0::DOUBLE * greatest(b, a) / 40 AS to_pct FROM (SELECT l_orderkey, l_linenumber, least(greatest(l_quantity - 10, 0), 40) AS a, least(greatest(l_quantity + 5, 0), 40) AS b FROM lineitem)",
+    prefix=False,
+)
+def segments_clamped(spark: SparkSession, d: str) -> DataFrame:
+    inside = T.clamped(F.col("l_quantity") - 10, F.col("l_quantity") + 5, F.lit(40.0))
+    return C.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", inside.alias("s")).select("l_orderkey", "l_linenumber", F.col("s.start").alias("seg_start"), F.col("s.end").alias("seg_end"), "s.from_pct", "s.to_pct")
+
+
+@query("SELECT event_id, len(x)::BIGINT AS n_times, x[2]::DOUBLE AS second FROM (SELECT event_id, regexp_extract_all('n:0 pts_time:0.5 n:1 pts_time:' || printf('%d.25', user_id) || ' pos:' || event_id, 'pts_time:([0-9]+(?:\\.[0-9]+)?)', 1) AS x FROM events)", prefix=False)
+def decoder_times(spark: SparkSession, d: str) -> DataFrame:
+    log = F.concat(F.lit("n:0 pts_time:0.5 n:1 pts_time:"), F.format_string("%d.25", "user_id"), F.lit(" pos:"), F.col("event_id").cast("string"))
+    return C.table(spark, d, "events").select("event_id", T.pts_times(log).alias("x")).select("event_id", F.size("x").cast("long").alias("n_times"), F.element_at("x", 2).alias("second"))
+
+
+@query(
+    "SELECT o_orderkey, CASE WHEN n >= 1000000 THEN printf('%.1f MB', floor(n / 1000000.0::DOUBLE * 10 + 0.5) / 10) WHEN n >= 1000 THEN printf('%.1f kB', floor(n / 1000.0::DOUBLE * 10 + 0.5) / 10) ELSE n || ' B' END AS size, ((o_orderkey + 3) % 7)::BIGINT AS three_on FROM (SELECT o_orderkey, floor(o_totalprice * (1 + o_orderkey % 9))::BIGINT AS n FROM orders)",
+    prefix=False,
+)
+def sizes_as_text(spark: SparkSession, d: str) -> DataFrame:
+    n = F.floor(F.col("o_totalprice") * (1 + F.col("o_orderkey") % 9))
+    return C.table(spark, d, "orders").select("o_orderkey", T.human_bytes(n).alias("size"), T.step(F.col("o_orderkey"), 3, F.lit(7)).cast("long").alias("three_on"))
