@@ -308,6 +308,12 @@ def test_places_may_repeat_where_others_have_their_tokens():
     assert sent[1][:2] == (0, True) and packed.unpack(sent[1][2], 2).T.tolist() == [[1, 5], [3, 5]]
 
 
+def test_equal_places_have_equal_surroundings():
+    a, b = np.arange(1, 60, dtype=np.uint32), np.arange(11, 90, dtype=np.uint32)
+    x = substrings._around([a, b], np.array([0, 1, 0, 1]), np.array([30, 20, 58, 0]))
+    assert x[0] == x[1] and len(set(x.tolist())) == 3
+
+
 def test_stars_of_hot_signatures():
     key, n = np.repeat(np.array([1 << 63, 5], np.uint64), [100, 2]), np.append(np.arange(100), [3, 3])
     sent = [(linked, packed.unpack(data, 4 if linked else 3)) for _, linked, data in substrings._sent(key, n, np.arange(102), 8)]
@@ -320,6 +326,7 @@ def test_stars_of_hot_signatures():
 def test_groups_equal_pairs(small, monkeypatch):
     monkeypatch.setattr(substrings, "SMALL", small or 50)
     monkeypatch.setattr(substrings, "_FEW", small or 50)
+    monkeypatch.setattr(substrings, "_BLOCK_ROWS", 256 if small else 4)
     rng = np.random.default_rng(3)
     u = [(i, [5, 90], rng.integers(0, 60, 30).astype(np.uint32), 15, True) for i in range(6)]
     m = u + [(i % 9, [0], np.where(rng.random(30) < 0.1, 99, u[i % 6][2]).astype(np.uint32), 15, False) for i in range(20)]
