@@ -261,8 +261,9 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     # 2. Buckets.
     band = lambda k: F.xxhash64(F.lit(k), F.substring("sketch", 2 * rows * k + 1, 2 * rows))
-    keyed = classes.select("rep", F.posexplode(F.array(*map(band, range(bands)))).alias("band", "bucket")).select("rep", "bucket")
-    buckets = keyed.groupBy("bucket").agg(F.min("rep").alias("low"), F.count(F.lit(1)).alias("members")).filter("members > 1")
+    keyed = classes.select("rep", "id", F.posexplode(F.array(*map(band, range(bands)))).alias("band", "bucket")).select("rep", "id", "bucket")
+    # The class of the smallest id is the centre: what came first is more often the original of the others' edits.
+    buckets = keyed.groupBy("bucket").agg(F.min(F.struct("id", "rep"))["rep"].alias("low"), F.count(F.lit(1)).alias("members")).filter("members > 1")
     held = materialize(keyed.join(broadcast_if_small(materialize(buckets)), "bucket").select("rep", "bucket", "low"))
     facts = classes.select("rep", "n", "sketch")
     side = lambda s: facts.select(F.col("rep").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}"))
