@@ -262,6 +262,38 @@ def test_recall_of_families_of_edited_copies(spark):
         assert sum(bool(classes.get(a, set()) & classes.get(b, set())) for a, b in linked[k]) >= 0.9 * len(linked[k]), k
 
 
+def test_no_link_between_classes_is_left_out(spark):
+    """Two pairs of copies with a passage in common, all of whose signatures have a smaller holder that has too little of the passage for a link."""
+    rng = random.Random(11)
+    vocabulary = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 8))) for _ in range(3000)]
+    some = lambda k: rng.choices(vocabulary, k=k)
+    rows, wanted = [], {}
+    for g in range(12):
+        passage = some(50)
+        rows += [" ".join(some(20) + passage[at : at + 42] + some(20)) for at in (0, 2, 4, 6, 8) for _ in range(6)]
+        other = passage[:25] + ["z"] + passage[26:]
+        a, c = (" ".join(some(30) + x + some(30)) for x in (passage, other))
+        wanted |= {len(rows) + i: (len(rows), 4) for i in range(4)}
+        rows += [a, a, c, c]
+        assert np.isin(*(substrings.places([tokens_of(x)], 46, 6)[0] for x in (a, c))).any()
+    got = passages(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(3))
+    assert {i: x for (i, _, _), x in got.items()} == wanted
+
+
+def test_tiles_skip_what_is_in_one_class():
+    x, y = (np.arange(k, k + 60, dtype=np.uint32) for k in (0, 1000))
+    place = lambda i, tokens, label, left=False: (i, [0], tokens, 30, left, label)
+    groups = [([place(1, x, 7, True)], [place(2, x, 7), place(3, y, 8)]), ([place(1, x, 7, True), place(4, y, 4, True)], [place(5, x, 9), place(6, x, 7)]), ([place(1, x[:40], 1, True)], [place(2, x, 2)])]
+    assert [tuple(on.tolist() for on in z) for z in substrings.may_match(groups, 46)] == [([False], [False, False]), ([True, False], [True, False]), ([False], [False])]
+    assert {(a, b) for a, _, _, b, _, _ in substrings.group_spans(groups, 46)[1]} == {(1, 5)}
+
+
+def test_spans_of_the_other_side_are_linked_too():
+    """Where one text has a passage in one piece and the other has two, both are linked with it."""
+    rows = [(0, 0, 150, 0, 60), (0, -1, -1, 110, 160), (1, -1, -1, 5, 60)]
+    assert substrings._paired(rows, [0, 0]) == [(0, 0, 150, 0, 60), (0, 0, 150, 110, 160), (1, -1, -1, 5, 60)]
+
+
 def test_passages_with_a_word_put_in_or_left_out(spark):
     a = words(50, 200).split()
     for b in (a[:25] + ["putin"] + a[25:], a[:25] + a[26:] + ["after"]):
