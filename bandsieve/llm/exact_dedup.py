@@ -23,13 +23,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bandsieve.llm._shared import column_bytes, materialize, small_batches, tidy
+from bandsieve.llm._shared import column_bytes, materialize, releasing, small_batches, tidy
 
 
 def digests(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """id, part (the partition that read the row), digest, check2, n_bytes of each row's normalised text."""
     id_type = docs.schema[id_col].dataType.simpleString()
 
+    @releasing
     def hashed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             texts = [(x or b"").lower() for x in column_bytes(part, "text")]
@@ -45,6 +46,7 @@ def digests(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def _merge(keep: str):
     """Merges the sorted runs in a partition into one sorted run; equal digests, verified, become one entry."""
 
+    @releasing
     def merged(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, best, n = None, None, 0
         out: list[tuple] = []

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bandsieve.llm._shared import broadcast_if_small, materialize, mix64, shingles, small_batches, tidy
+from bandsieve.llm._shared import broadcast_if_small, materialize, mix64, releasing, shingles, small_batches, tidy
 from bandsieve.llm.components import components
 
 #: Base of the registers' scale; the smaller, the finer.
@@ -100,6 +100,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, width: int, registers:
     mult, add = _functions(registers, seed)
     id_type = docs.schema[id_col].dataType.simpleString()
 
+    @releasing
     def sketch(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             found = _sets(part.column("text"), width)
@@ -127,6 +128,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, wi
 
     An id may have several texts: only those with the class's set are taken."""
 
+    @releasing
     def sets(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             found = _sets(part.column("text"), width)
@@ -140,6 +142,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, wi
 def _likely(pairs: DataFrame, percent: int, z: float) -> DataFrame:
     """Pairs (a, b with sketches) whose joint estimate may reach the threshold."""
 
+    @releasing
     def keep(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             if not part.num_rows:
@@ -161,6 +164,7 @@ def _verified(pairs: DataFrame, sets_of: Callable[[DataFrame], DataFrame], perce
     left = pairs.join(sets.select(F.col("d").alias("a"), F.col("shingles").alias("set_a")), "a")
     both = left.join(sets.select(F.col("d").alias("b"), F.col("shingles").alias("set_b")), "b").select("a", "b", "set_a", "set_b")
 
+    @releasing
     def check(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             sim, ok = [], []

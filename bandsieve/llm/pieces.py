@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bandsieve.llm._shared import hash64, mix64, small_batches
+from bandsieve.llm._shared import hash64, mix64, release_memory, releasing, small_batches
 
 #: Units whose lattices a worker keeps; then it starts anew.
 REMEMBERED = 250_000
@@ -236,6 +236,7 @@ class PieceModel:
 def model_of(path: str) -> PieceModel:
     if path not in _MODELS:
         _MODELS[path] = PieceModel(path)
+        release_memory()  # the library's own tables are not needed any more
     return _MODELS[path]
 
 
@@ -373,6 +374,7 @@ def sample_segmentations(docs: DataFrame, model: str, id_col: str = "doc_id", te
     names = ["id", "rank", "n_pieces", "log_prob", "perturbed", "inclusion", "round_trip", "ids_crc32"] + ["ids"] * with_ids
     types = [None, pa.int32(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.bool_(), pa.int64(), pa.binary()]
 
+    @releasing
     def sample(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = model_of(model)
         for part in parts:

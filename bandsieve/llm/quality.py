@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bandsieve.llm._shared import column_bytes, small_batches
+from bandsieve.llm._shared import column_bytes, releasing, small_batches
 
 SYMBOLS = b"#*$%&|<>"
 _SPACES = b" \t\n\x0b\x0c\r"
@@ -140,6 +140,7 @@ def apply_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     id_type = docs.schema[id_col].dataType.simpleString()
     out = f"id {id_type}, {''.join(f'{c} long, ' for c in counts)}kept boolean, rejected_by string, rules_run int"
 
+    @releasing
     def judge(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             columns: list[list] = [[] for _ in range(len(counts) + 3)]
@@ -163,6 +164,7 @@ def kept_documents(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, .
     small_batches(docs.sparkSession)
     todo = order_rules(rules, sample_texts(docs, text_col, sample_rows))
 
+    @releasing
     def keep(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             features = map(Features, column_bytes(part, text_col))

@@ -13,7 +13,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from bandsieve.llm import components, exact_dedup, licenses, mixing, near_dedup, packed, pieces, quality, queries, records, secrets, substrings, warc
+from bandsieve.llm import _shared, components, exact_dedup, licenses, mixing, near_dedup, packed, pieces, quality, queries, records, secrets, substrings, warc
 from bandsieve.llm._shared import shared_dir
 
 BPE, SP = queries.tokenizer_path("byte_bpe_50k.json"), queries.tokenizer_path("piece_bpe_32k.model")
@@ -280,6 +280,25 @@ def test_no_link_between_classes_is_left_out(spark):
     assert {i: x for (i, _, _), x in got.items()} == wanted
 
 
+def test_workers_give_free_memory_back():
+    """A worker holds no more after a task than before, whatever freed pieces the allocators would have kept."""
+
+    def resident():
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * 4096
+
+    @_shared.releasing
+    def work(parts):
+        for _ in parts:
+            held = [bytes(100_000) for _ in range(3000)]
+            keep.append(held[-1])  # freed pieces below it can't go back by themselves
+            yield len(held)
+
+    keep = []
+    before = resident()
+    assert list(work([1])) == [3000] and resident() - before < 50_000_000
+
+
 def test_tiles_skip_what_is_in_one_class():
     x, y = (np.arange(k, k + 60, dtype=np.uint32) for k in (0, 1000))
     place = lambda i, tokens, label, left=False: (i, [0], tokens, 30, left, label)
