@@ -359,6 +359,22 @@ def test_places_may_repeat_where_others_have_their_tokens():
     assert sent[1][:2] == (0, True) and packed.unpack(sent[1][2], 2).T.tolist() == [[1, 5], [3, 5]]
 
 
+def test_passages_stand_for_their_links(spark):
+    """Further links give the same passages and classes with passages found so far, a row for each, as with all spans and links these come from."""
+    rng = np.random.default_rng(4)
+    spans = sorted({(int(n), int(s), int(s) + 50) for n, s in zip(rng.integers(0, 30, 200), rng.integers(0, 900, 200))})
+    links = [(*spans[a], *spans[b]) for a, b in rng.integers(0, len(spans), (60, 2)) if spans[a][0] != spans[b][0]]
+    frame = lambda rows: spark.createDataFrame(rows, "n long, start long, end long, other long, o_start long, o_end long")
+    ends = lambda rows: spark.createDataFrame(rows, "n long, start long, end long")
+    first = substrings._passages(frame(links[:40]), ends(spans[:150] + [x[:3] for x in links[:40]] + [x[3:] for x in links[:40]]))
+    so_far, covered = substrings._so_far(first)
+    assert covered.count() == first.count() < 150 and so_far.count() < first.count()
+    more = ends(spans[150:] + [x[:3] for x in links[40:]] + [x[3:] for x in links[40:]])
+    short = substrings._passages(so_far.union(frame(links[40:])), covered.union(more))
+    whole = substrings._passages(frame(links), ends(spans).union(more))
+    assert sorted(map(tuple, short.collect())) == sorted(map(tuple, whole.collect()))
+
+
 def test_equal_places_have_equal_surroundings():
     a, b = np.arange(1, 60, dtype=np.uint32), np.arange(11, 90, dtype=np.uint32)
     x = substrings._around([a, b], np.array([0, 1, 0, 1]), np.array([30, 20, 58, 0]))
