@@ -18,8 +18,8 @@ import re
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
-from itertools import chain
+from collections.abc import Iterable, Iterator
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -59,20 +59,30 @@ def _zeros_operator(n: int) -> np.ndarray:
     return out
 
 
-def _apply(op: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """A linear map, given by the images of the 32 bits, for many registers: a table look-up for each byte."""
+def _tables(op: np.ndarray) -> np.ndarray:
+    """A linear map, given by the images of the 32 bits, as a table for each byte of a register."""
     v = np.arange(256, dtype=np.uint32)
-    out = np.zeros_like(x)
-    for byte in range(4):
-        table = np.zeros(256, np.uint32)
-        for i in range(8):
-            table ^= np.where((v >> np.uint32(i)) & np.uint32(1), op[8 * byte + i], np.uint32(0))
-        out ^= table[(x >> np.uint32(8 * byte)) & np.uint32(255)]
+    out = np.zeros((4, 256), np.uint32)
+    for i in range(32):
+        out[i // 8] ^= np.where((v >> np.uint32(i % 8)) & np.uint32(1), op[i], np.uint32(0))
+    return out
+
+
+def _mapped(tables: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """A linear map, given by its tables, for many registers."""
+    out = tables[0][x & np.uint32(255)]
+    for byte in range(1, 4):
+        out ^= tables[byte][(x >> np.uint32(8 * byte)) & np.uint32(255)]
     return out
 
 
+def _apply(op: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """A linear map, given by the images of the 32 bits, for many registers."""
+    return _mapped(_tables(op), x)
+
+
 _BLOCK = 64
-_OPERATORS: dict[int, np.ndarray] = {}
+_OPERATORS: dict[int, np.ndarray] = {}  # as tables, which are made once a worker
 
 
 def crc32c(data: bytes) -> int:
@@ -103,9 +113,9 @@ def _crc_rows(datas: list[bytes]) -> np.ndarray:
     level = 0
     while after.any():
         if level not in _OPERATORS:
-            _OPERATORS[level] = _zeros_operator(_BLOCK << level)
+            _OPERATORS[level] = _tables(_zeros_operator(_BLOCK << level))
         on = (after >> level) & 1 == 1
-        reg[on] = _apply(_OPERATORS[level], reg[on])
+        reg[on] = _mapped(_OPERATORS[level], reg[on])
         after = after & ~(1 << level)
         level += 1
     out = np.zeros(len(datas), np.uint32)
@@ -116,9 +126,9 @@ def _crc_rows(datas: list[bytes]) -> np.ndarray:
     while (lengths >> bit).any():
         key = -1 - bit
         if key not in _OPERATORS:
-            _OPERATORS[key] = _zeros_operator(1 << bit)
+            _OPERATORS[key] = _tables(_zeros_operator(1 << bit))
         on = (lengths >> bit) & 1 == 1
-        start[on] = _apply(_OPERATORS[key], start[on])
+        start[on] = _mapped(_OPERATORS[key], start[on])
         bit += 1
     return out ^ start ^ np.uint32(0xFFFFFFFF)
 
@@ -199,6 +209,7 @@ class UnitEncoder:
         spec = json.loads(self.tokenizer.to_str())
         self.special = [x["content"] for x in spec.get("added_tokens") or []]
         pre = spec.get("pre_tokenizer") or {}
+        self.special_begin = os.path.commonprefix(self.special)  # texts without it hold no special token
         self.by_unit = spec.get("normalizer") is None and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True)
         self.cut = re.compile(r"(?<=\S)(?= \S)").split
         self.double = re.compile(r"\s\s").search
@@ -230,8 +241,9 @@ class UnitEncoder:
         for lo in range(0, len(odd), 10_000):
             self.ids.update(zip(odd[lo : lo + 10_000], self.whole(odd[lo : lo + 10_000])))
         strings = [plain[lo : lo + 300] for lo in range(0, len(plain), 300)]
-        for units, raw in zip(strings, self.whole(["".join(x) for x in strings])):
-            ends = np.cumsum([len(u.encode()) for u in units])
+        n_bytes = pc.binary_length(pa.array(plain, pa.large_string())).to_numpy(zero_copy_only=False)
+        for lo, units, raw in zip(range(0, len(plain), 300), strings, self.whole(["".join(x) for x in strings])):
+            ends = np.cumsum(n_bytes[lo : lo + 300])
             reach = np.cumsum(self.n_bytes[np.frombuffer(raw, f"<u{self.width}")])
             cuts = (np.searchsorted(reach, ends) + 1) * self.width
             self.ids.update(zip(units, map(raw.__getitem__, map(slice, [0, *cuts[:-1].tolist()], cuts.tolist()))))
@@ -250,13 +262,13 @@ class UnitEncoder:
         if len(self.ids) > REMEMBERED:  # what is still in use moves on from the old generation
             self.old, self.ids = self.ids, {}
         out: list[bytes] = [b""] * len(texts)
-        special = [any(s in x for s in self.special) for x in texts]
+        special = [bool(self.special) and self.special_begin in x and any(s in x for s in self.special) for x in texts]
         plain = [not odd and self.is_plain(x) for x, odd in zip(texts, special)]
         for i, ids in self._encode_plain([i for i, x in enumerate(plain) if x], texts):
             out[i] = ids
         rest = [i for i, x in enumerate(texts) if x and not plain[i] and not special[i]]
         cut = [self.units(texts[i]) for i in rest]
-        self._know(set(chain.from_iterable(cut)))
+        self._know(chain.from_iterable(cut))
         for i, x in zip(rest, cut):
             out[i] = b"".join(map(self.ids.__getitem__, x))
         whole = [i for i, x in enumerate(special) if x]
@@ -264,8 +276,8 @@ class UnitEncoder:
             out[i] = ids
         return out
 
-    def _know(self, units: set[str]) -> None:
-        missing = units.difference(self.ids)
+    def _know(self, units: Iterable[str]) -> None:
+        missing = set(filterfalse(self.ids.__contains__, units))
         again = [u for u in missing if u in self.old]
         self.ids.update(zip(again, map(self.old.__getitem__, again)))
         self._learn(missing.difference(again))
@@ -281,8 +293,9 @@ class UnitEncoder:
         coded = cut.values.dictionary_encode()
         together = pa.ListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int32()), coded.dictionary.cast(pa.string()))
         units = pc.binary_join(together, "\0")[0].as_py().split("\0")  # far faster than one by one
-        self._know(set(filter(None, units)))
-        ids = [self.ids[u] if u else b"" for u in units]
+        self.ids[""] = b""
+        self._know(units)
+        ids = list(map(self.ids.__getitem__, units))
         kind = f"<u{self.width}"
         flat = np.frombuffer(b"".join(ids), kind)
         n = np.fromiter(map(len, ids), np.int64, len(ids)) // self.width

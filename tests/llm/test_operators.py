@@ -860,3 +860,31 @@ def test_thresholds_refine_to_the_last_bit(spark):
     budgets = spark.createDataFrame([("k", 25.0), ("all", 9.0), ("none", 1.0)], "key string, budget double")
     got = {r["key"]: r["threshold"] for r in mixing.boundaries(sizes, budgets).collect()}
     assert got["k"] == 6 and got["all"] >= 3 and got["none"] == 8
+
+
+def test_checksum_operators_are_tables_made_once(monkeypatch):
+    """A linear map of registers is turned into tables once a worker, not for each batch, and gives what its bits' images give."""
+    made = []
+    tables = records._tables
+    monkeypatch.setattr(records, "_tables", lambda op: made.append(1) or tables(op))
+    monkeypatch.setattr(records, "_OPERATORS", {})
+    datas = [bytes(range(256)) * k for k in range(1, 9)]
+    first = records._crc_rows(datas)
+    n = len(made)
+    assert n and (records._crc_rows(datas) == first).all() and len(made) == n
+    assert records.crc32c(b"123456789") == 0xE3069283
+    op, x = records._zeros_operator(5), np.array([0, 1, 0x80000001, 0xFFFFFFFF], np.uint32)
+    assert records._mapped(tables(op), x).tolist() == [int(np.bitwise_xor.reduce(op[[i for i in range(32) if v >> i & 1]], initial=0)) for v in x.tolist()]
+
+
+def test_units_of_several_bytes_and_special_tokens_are_encoded_as_by_the_library():
+    from tokenizers import Tokenizer
+
+    from bandsieve.llm.queries import tokenizer_path
+
+    path = tokenizer_path("byte_bpe_50k.json")
+    own, library = records.UnitEncoder(path), Tokenizer.from_file(path)
+    texts = ["Größe über naïve cafés, déjà vu.\nÄrger", "日本 語 の 文", "a <|endoftext|> b", "<|endoftext", "", "plain words. plain, words", " odd  spaces \n\n"]
+    for _ in range(2):
+        assert [np.frombuffer(x, f"<u{own.width}").tolist() for x in own.encode(texts)] == [library.encode(x, add_special_tokens=False).ids for x in texts]
+    assert own.ids[""] == b"" and own.special_begin
