@@ -20,8 +20,9 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -35,9 +36,19 @@ REMEMBERED = 250_000
 #: Units that are walked at once.
 AT_ONCE = 40_000
 _LATIN = re.compile(r"[A-Za-z\u00C0-\u024F]")
+#: Characters from space on that a state's moves are held for in a table.
+_TABLE = 96
 _MODELS: dict[str, PieceModel] = {}
 
 
+def _order(keys: np.ndarray) -> np.ndarray:
+    """A stable order of small numbers, by one sort of numbers that hold the key and its place."""
+    bits = np.int64(max(1, len(keys)).bit_length())
+    code = keys << bits | np.arange(len(keys))
+    code.sort()
+    return code & ((np.int64(1) << bits) - 1)
+
+
 class PieceModel:
     """Pieces of a model file with log-probabilities, and lattices of units as flat tables of edges.
 
@@ -89,12 +100,21 @@ class PieceModel:
         self.trie_piece = np.full(len(states), -1, np.int64)
         for piece, (i, _) in self.lp.items():
             self.trie_piece[states[piece]] = i
+        # The same moves for characters from space on as a table; the last column is for all others, which are sought among the keys.
+        self.trie_table = np.full((len(states), _TABLE + 1), -1, np.int32)
+        state, char = self.trie_keys >> 21, (self.trie_keys & 0x1FFFFF) - 32
+        on = (char >= 0) & (char < _TABLE)
+        self.trie_table[state[on], char[on]] = self.trie_next[on]
 
     def clear(self) -> None:
-        self.starts: dict[str, int] = {}
+        self.numbers: defaultdict[str, int] = defaultdict(count().__next__)  # of units; a new one gets the next
+        self.n_known = 0
         self.spelled: list[list[int]] = []  # pieces below 0 are ~place here: characters spelled in several bytes
         self.spelled_at: dict[int, int] = {}
         self.n_nodes = self.n_edges = 0
+        if hasattr(self, "first"):  # the tables' room is used again
+            return
+        self.start = np.zeros(1 << 15, np.int64)
         self.first, self.count = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int32)
         self.cum, self.to, self.piece = np.zeros(1 << 17, np.float32), np.zeros(1 << 17, np.int32), np.zeros(1 << 17, np.int32)
         self.log_p, self.log_q = np.zeros(1 << 17, np.float32), np.zeros(1 << 17, np.float32)
@@ -106,8 +126,11 @@ class PieceModel:
         """Builds the lattices of units that are not known yet, level by level for all of them."""
         n_chars = np.fromiter(map(len, units), np.int64, len(units))
         base, node = self.n_nodes, int(n_chars.sum()) + len(units)
+        while len(self.start) < self.n_known + len(units):
+            self.start = np.concatenate((self.start, np.zeros_like(self.start)))
         ends = np.cumsum(n_chars + 1) - 1
-        self.starts.update(zip(units, (base + ends - n_chars).tolist()))
+        self.start[self.n_known : self.n_known + len(units)] = base + ends - n_chars
+        self.n_known += len(units)
         # A unit has a node before each character and one at its end; there the text holds a value that is no character.
         place = np.arange(node - len(units)) + np.repeat(np.arange(len(units)), n_chars)
         text = np.full(node, 0x110000, np.int64)
@@ -119,7 +142,7 @@ class PieceModel:
             lps[odd] = self.byte_lp * np.array([len(self.spelled[~x]) for x in piece[odd].tolist()])
         # beta of a node: log of the mass of all ways from there to the unit's end; level: characters to the end.
         beta = np.zeros(node)
-        order = np.argsort(level * np.int64(node + 1) + src, kind="stable")
+        order = _order(level * np.int64(node + 1) + src)
         src, dst, piece, lps, level = src[order], dst[order], piece[order], lps[order], level[order]
         bounds = np.flatnonzero(np.diff(level, prepend=0, append=level[-1:] + 1)) if len(level) else np.zeros(1, int)
         for lo, hi in zip(bounds[:-1], bounds[1:]):
@@ -152,10 +175,17 @@ class PieceModel:
         found, at, state, unit = [], place, np.zeros(len(place), np.int64), last
         length = 0
         while len(at):
-            key = (state << 21) | text[at + length]
-            where = np.minimum(np.searchsorted(self.trie_keys, key), len(self.trie_keys) - 1)
-            on = self.trie_keys[where] == key
-            at, state, unit = at[on], self.trie_next[where[on]], unit[on]
+            char = text[at + length]
+            column = char - 32
+            column[(column < 0) | (column >= _TABLE)] = _TABLE
+            moved = self.trie_table[state, column].astype(np.int64)
+            other = np.flatnonzero(column == _TABLE)
+            if len(other):
+                key = (state[other] << 21) | char[other]
+                where = np.minimum(np.searchsorted(self.trie_keys, key), len(self.trie_keys) - 1)
+                moved[other] = np.where(self.trie_keys[where] == key, self.trie_next[where], -1)
+            on = moved >= 0
+            at, state, unit = at[on], moved[on], unit[on]
             length += 1
             end = self.trie_piece[state]
             whole = end >= 0
@@ -184,12 +214,13 @@ class PieceModel:
 
     def start_nodes(self, units: list[list[str]]) -> list[np.ndarray]:
         """The first node of each unit of each text; lattices that are missing are built. Node numbers hold until the next call."""
-        if len(self.starts) > REMEMBERED:
+        if len(self.numbers) > REMEMBERED:
             self.clear()
-        missing = list(set(chain.from_iterable(units)).difference(self.starts))
-        if missing:
-            self.add(missing)
-        return [np.fromiter(map(self.starts.__getitem__, x), np.int64, len(x)) for x in units]
+        sizes = list(map(len, units))
+        number = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(units)), np.int64, sum(sizes))
+        if len(self.numbers) > self.n_known:
+            self.add(list(islice(reversed(self.numbers), len(self.numbers) - self.n_known))[::-1])
+        return np.split(self.start[number], np.cumsum(sizes)[:-1]) if sizes else []
 
     def walk(self, nodes: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Draws a path from each node to its unit's end: edges (all paths one after another) and their numbers.

@@ -888,3 +888,22 @@ def test_units_of_several_bytes_and_special_tokens_are_encoded_as_by_the_library
     for _ in range(2):
         assert [np.frombuffer(x, f"<u{own.width}").tolist() for x in own.encode(texts)] == [library.encode(x, add_special_tokens=False).ids for x in texts]
     assert own.ids[""] == b"" and own.special_begin
+
+
+def test_lattices_are_numbered_as_units_appear():
+    """Not in an order of a set, which another hash seed changes; moves from a table are those among the keys, and tables are used again."""
+    m = pieces.PieceModel(SP)
+    a = m.start_nodes([[" b", " a", " b"], [], [" a", " ж"]])
+    assert list(m.numbers) == [" b", " a", " ж"] and [len(x) for x in a] == [3, 0, 2] and a[0][0] == a[0][2] != a[0][1] == a[2][0]
+    assert m.start_nodes([[" b"]])[0].tolist() == [a[0][0]] and m.start_nodes([]) == []
+    for key, to in zip(m.trie_keys.tolist(), m.trie_next.tolist()):
+        state, char = key >> 21, (key & 0x1FFFFF) - 32
+        assert not 0 <= char < pieces._TABLE or m.trie_table[state, char] == to
+    assert np.count_nonzero(m.trie_table >= 0) == np.count_nonzero(((m.trie_keys & 0x1FFFFF) >= 32) & ((m.trie_keys & 0x1FFFFF) < 32 + pieces._TABLE))
+    text = "Zażółć gęślą jaźń, ünïted\t日本\n" * 40 + "plain words and more of them " * 900
+    draw = lambda: [(x.out[0][2], x.out[1][2], m.ids(x.out[0][0]).tolist(), m.decode(m.ids(x.out[1][0]).tolist()) == text) for x in pieces.sample_texts(m, [text], [7], 2)]
+    first, room = draw(), len(m.cum)
+    m.clear()
+    assert m.n_edges == 0 and len(m.cum) == room and draw() == first and first[0][3]
+    keys = np.array([5, 3, 5, 3, 0])
+    assert pieces._order(keys).tolist() == np.argsort(keys, kind="stable").tolist() and len(pieces._order(keys[:0])) == 0
