@@ -1,6 +1,6 @@
 """Licence scans by sentence rules, in DataFrame operations only.
 
-A text is cut into sentences: at lines without a letter or digit, and at . ! ? : ; before white space and a capital. Line ends
+A text is cut into sentences: at lines without a letter or digit, and at . ! ? : ; before white space and a capital, but not behind SPDX-License-Identifier. Line ends
 inside a sentence, comment marks at lines' beginnings and all other characters are normalised away (lower case, only letters, digits and pluses, single
 spaces), so hard-wrapped notices read like plain ones. Each sentence is mapped to the identifiers of the known licence sentences
 whose wording it holds, whole words only, the more specific first, and no word counts twice. The sequence of identifiers is then matched
@@ -83,9 +83,9 @@ def _under(*names: str) -> list[str]:
 
 
 def _gnu(family: str, version: str) -> list[tuple[str, list[str]]]:
-    name, key, short = _GNU[family], f"{family}{version.replace(' ', '')}", version.replace(" ", ".")
+    name, key = _GNU[family], f"{family}{version.replace(' ', '')}"
     later = [f"{name}{by} {x}" for by in _FSF for x in (f"either version {version} of the license or at your option any later version", f"version {version} of the license or at your option any later version", f"version {version} or at your option any later version", f"version {version} or later", f"v{version} or later", f"either version {version}")]
-    return [(f"{key}_later", later), (key, [f"{name}{by} {x}" for by in _FSF for x in (f"version {version}", f"v{version}")] + _under(f"{family}v{short}", f"{family} v{version}", f"{family} {version}"))]
+    return [(f"{key}_later", later), (key, [f"{name}{by} {x}" for by in _FSF for x in (f"version {version}", f"v{version}")] + _under(f"{family}v{version}", f"{family} v{version}", f"{family} {version}"))]
 
 
 #: Identifier and wordings of known sentences; earlier ones take their words first.
@@ -133,7 +133,8 @@ for _name, _wordings in SENTENCES:
             raise ValueError(f"no cue in {_wording!r}")
 
 _BREAK = "\x01"
-_CUT = r"\n[^\p{L}\p{N}\n]*\n|[.!?:;][\x22')\]]*\s+(?=[^\p{L}\p{N}]*\p{Lu})"
+#: The identifier behind an SPDX line's colon belongs to the line's sentence.
+_CUT = r"\n[^\p{L}\p{N}\n]*\n|[.!?:;](?<!(?i:spdx-license-identifier):)[\x22')\]]*\s+(?=[^\p{L}\p{N}]*\p{Lu})"
 _OTHER = r"[^a-z0-9+\x01]+"
 
 
