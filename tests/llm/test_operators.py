@@ -5,6 +5,7 @@ import hashlib
 import inspect
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -359,6 +360,45 @@ def test_places_may_repeat_where_others_have_their_tokens():
     assert sent[1][:2] == (0, True) and packed.unpack(sent[1][2], 2).T.tolist() == [[1, 5], [3, 5]]
 
 
+def test_a_cell_of_tokens_is_sorted_and_dealt_in_bounded_memory(monkeypatch):
+    """Tokens come in order and all are dealt, in blocks, with less memory than sorting and dealing all columns as wide numbers at once takes."""
+    r, kinds = np.random.default_rng(5), (np.uint32, np.int64, np.uint8, np.int64)
+    whole = np.stack([r.integers(0, top, 1 << 18) for top in (1 << 16, 1 << 40, 4, 1 << 50)])
+    grids = [whole[:, i : i + 4096].copy() for i in range(0, whole.shape[1], 4096)]
+
+    def peak(work):
+        tracemalloc.start()
+        out = work()
+        return out, tracemalloc.get_traced_memory()[1], tracemalloc.stop()
+
+    def at_once():
+        grid = np.concatenate([x.copy() for x in grids], axis=1)
+        token, n, wanted, label = grid
+        order = substrings._by_token(token)
+        token, n, wanted, label = token[order], n[order], wanted[order], label[order]
+        grid = np.concatenate([np.stack([n, token << 1 | 1])], axis=1)
+        at = packed.cell_of(substrings.mix64(grid[0].view(np.uint64)), 8)
+        order = np.lexsort((grid[1], grid[0], at))
+        grid, at = grid[:, order], at[order]
+        return [token, n, wanted, label], [(cell, packed.pack(*grid[:, i:j])) for cell, i, j in substrings._runs(at)]
+
+    def in_blocks():
+        columns = substrings._in_order([tuple(x.astype(kind) for x, kind in zip(grid, kinds)) for grid in grids])
+        found = [np.stack([columns[1], columns[0].astype(np.int64) << 1 | 1])]
+        sent = list(substrings._dealt(found, 8))
+        assert not found
+        return columns, sent
+
+    monkeypatch.setattr(substrings, "_DEAL", 10_000)
+    (columns, sent), most, _ = peak(in_blocks)
+    (plain, all_sent), before, _ = peak(at_once)
+    assert [x.tolist() for x in columns] == [x.tolist() for x in plain]
+    rows = lambda got: sorted((cell, *x) for cell, data in got for x in packed.unpack(data, 2).T.tolist())
+    assert len(sent) > len(all_sent) == 8 and rows(sent) == rows(all_sent)
+    assert all((np.diff(packed.unpack(data, 2)[0]) >= 0).all() for _, data in sent)
+    assert most < 0.65 * before, (most, before)
+
+
 def test_passages_stand_for_their_links(spark):
     """Further links give the same passages and classes with passages found so far, a row for each, as with all spans and links these come from."""
     rng = np.random.default_rng(4)
