@@ -350,6 +350,14 @@ def test_copies_between_documents_that_share_only_a_template(spark):
     assert all(s <= 65 and e >= 110 and n == (i - i % 4 + 1, 2) for (i, s, e), n in got.items())
 
 
+def test_tokens_are_looked_up_in_ascending_ones():
+    draw = np.random.default_rng(4)
+    for size in (0, 1, 50):
+        known = np.sort(draw.integers(0, 1 << 32, size))
+        tokens = np.concatenate((draw.integers(0, 1 << 32, 80), known[::3], [0, (1 << 32) - 1])).astype(np.uint32)
+        assert substrings._within(tokens, known).tolist() == np.isin(tokens, known).tolist()
+
+
 def test_places_may_repeat_where_others_have_their_tokens():
     a = np.arange(200, dtype=np.uint32)
     shared = np.setdiff1d(a[50:120], [60, 70])
